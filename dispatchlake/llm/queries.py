@@ -6,14 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import op6_decontamination
+from .mixing import op9_mixing
+from .secret_scan import op3_secret_scan
 from .substring_dedup import op1_substring_dedup
+from .token_counts import op7_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_secret_scan": op3_secret_scan,
+    "op6_decontamination": op6_decontamination,
+    "op7_token_counts": op7_token_counts,
+    "op9_mixing": op9_mixing,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
+_ALNUM = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
@@ -34,5 +44,54 @@ texts AS (
 )
 SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN texts USING (r)
+""",
+    "op6_decontamination": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM} AS w FROM documents),
+items AS (SELECT item_id, {_ALNUM} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS k, array_to_string(w[p : p + least(len(w), 13) - 1], ' ') AS x
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS p FROM items WHERE len(w) > 0)
+),
+grams AS (
+  SELECT r, k, p, array_to_string(w[p : p + k - 1], ' ') AS x
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)
+),
+hits AS (SELECT r, k, p, item_id FROM grams JOIN windows USING (k, x)),
+hit_words AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + k)) AS q FROM hits) GROUP BY r),
+hit_items AS (SELECT r, count(*) AS n, string_agg(i, ',' ORDER BY i) AS list FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(i.list, '')) AS items_sha256, coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit_words h USING (r) LEFT JOIN hit_items i USING (r)
+""",
+    "op9_mixing": rf"""
+WITH d AS (
+  SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(strlen(text), -1)::VARCHAR), 1, 15))::BIGINT >> 24 AS prefix
+  FROM documents
+),
+s AS (
+  SELECT source, source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source)
+),
+filling AS (
+  SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER f, 0) AS rest, sum(weight) OVER () - coalesce(sum(weight) OVER f, 0) AS open_weight
+  FROM s WINDOW f AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+marked AS (SELECT *, 3 * source_size * open_weight <= weight * rest AS full_up FROM filling),
+level AS (SELECT min_by(rest, source_size / weight) AS rest, min_by(open_weight, source_size / weight) AS open_weight FROM marked WHERE NOT full_up),
+wanted AS (
+  SELECT source, source_size, CASE WHEN full_up THEN (3 * source_size)::DOUBLE ELSE level.rest::DOUBLE * weight / level.open_weight::DOUBLE END AS target
+  FROM marked LEFT JOIN level ON true
+),
+budgets AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS passes FROM wanted
+),
+buckets AS (SELECT source, prefix, sum(size) AS words, sum(sum(size)) OVER (PARTITION BY source ORDER BY prefix) AS until FROM d GROUP BY source, prefix),
+edge AS (
+  SELECT b.source, min_by(x.prefix + CASE WHEN 2 * ((b.target - b.passes * b.source_size) - (x.until - x.words)) > x.words THEN 1 ELSE 0 END, x.prefix) AS threshold
+  FROM budgets b JOIN buckets x ON x.source IS NOT DISTINCT FROM b.source AND x.until > b.target - b.passes * b.source_size GROUP BY b.source
+)
+SELECT doc_id, size, source_size, target, (size * (passes + CASE WHEN prefix < coalesce(threshold, 0) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source LEFT JOIN edge e ON e.source IS NOT DISTINCT FROM b.source
 """,
 }
