@@ -192,7 +192,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     bits = sketch.bits_for(size / ANCHOR_BYTES, ROWS)
     filled = only.select("text").mapInArrow(sketch.filler(_sketched(window), ROWS, bits), sketch.EMITTED)
     estimates = spark.sparkContext.broadcast(sketch.gather(filled, ROWS, bits))
-    blocks, slices = parts(spark, size), parts(spark, size * 3)
+    # a block sends each slice one row: their numbers multiply, so both stay near what keeps all tasks busy
+    blocks, slices = parts(spark, size, least=2), parts(spark, size * 3, least=1)
     blocked = only.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)))
     asked = blocked.groupBy("block").applyInArrow(_ask(window, estimates, slices), "block long, slice long, one binary, two binary")
     told = asked.groupBy("slice").applyInArrow(_tell, "block long, slice long, n long, repeated binary")
