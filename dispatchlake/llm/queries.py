@@ -7,17 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op6_decontamination
+from .license_scan import op10_license_scan
 from .mixing import op9_mixing
+from .neighbours import op8_neighbours
 from .secret_scan import op3_secret_scan
+from . import sharding
+from .sharding import op4_sharding
 from .substring_dedup import op1_substring_dedup
 from .token_counts import op7_token_counts
+from .toxicity import op2_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_secret_scan": op3_secret_scan,
+    "op4_sharding": op4_sharding,
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
+    "op8_neighbours": op8_neighbours,
     "op9_mixing": op9_mixing,
+    "op10_license_scan": op10_license_scan,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -93,5 +102,9 @@ edge AS (
 )
 SELECT doc_id, size, source_size, target, (size * (passes + CASE WHEN prefix < coalesce(threshold, 0) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source LEFT JOIN edge e ON e.source IS NOT DISTINCT FROM b.source
+""",
+    "op4_sharding": f"""
+SELECT doc_id, slot, ('0x' || substr('{"".join(f"{i:04x}" for i in sharding.fill())}', slot * 4 + 1, 4))::INTEGER AS shard
+FROM (SELECT doc_id, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {sharding.SLOTS})::INTEGER AS slot FROM documents)
 """,
 }
