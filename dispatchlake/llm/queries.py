@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import sharding
 from .decontaminate import op6_decontamination
 from .license_scan import op10_license_scan
 from .mixing import op9_mixing
 from .neighbours import op8_neighbours
 from .secret_scan import op3_secret_scan
-from . import sharding
 from .sharding import op4_sharding
+from .similar_sets import op5_ngram_jaccard
 from .substring_dedup import op1_substring_dedup
 from .token_counts import op7_token_counts
 from .toxicity import op2_toxicity
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_secret_scan": op3_secret_scan,
     "op4_sharding": op4_sharding,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
     "op8_neighbours": op8_neighbours,
@@ -31,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
+_LOWER_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _ALNUM = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 ORACLE_SQL: dict[str, str] = {
@@ -106,5 +109,18 @@ FROM d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source LEFT JOIN edge e
     "op4_sharding": f"""
 SELECT doc_id, slot, ('0x' || substr('{"".join(f"{i:04x}" for i in sharding.fill())}', slot * 4 + 1, 4))::INTEGER AS shard
 FROM (SELECT doc_id, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {sharding.SLOTS})::INTEGER AS slot FROM documents)
+""",
+    "op5_ngram_jaccard": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[p : p + least(len(w), 4) - 1], ' ')) AS x
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 4) + 2)) AS p FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 85 * (na.n + nb.n - i)),
+reach AS (SELECT doc_id AS a, doc_id AS c FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.c)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(c) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
 """,
 }
