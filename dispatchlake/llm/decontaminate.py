@@ -141,7 +141,7 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
 
 def hit_words() -> F.Column:
     """The number of distinct words that the column spans covers."""
-    pairs = F.array_sort(F.transform(F.sequence(F.lit(0), F.size("spans") / 2 - 1), lambda i: F.struct(F.get("spans", (2 * i).cast("int")).alias("a"), F.get("spans", (2 * i + 1).cast("int")).alias("b"))))
+    pairs = F.array_sort(F.transform(F.sequence(F.lit(0), (F.size("spans") / 2).cast("int") - 1), lambda i: F.struct(F.get("spans", (2 * i).cast("int")).alias("a"), F.get("spans", (2 * i + 1).cast("int")).alias("b"))))
     start = F.struct(F.lit(0).alias("total"), F.lit(0).alias("end"))
     step = lambda s, x: F.struct((s["total"] + F.greatest(F.lit(0), x["b"] - F.greatest(x["a"], s["end"]))).alias("total"), F.greatest(s["end"], x["b"]).alias("end"))
     return F.when(F.size("spans") == 0, F.lit(0)).otherwise(F.aggregate(pairs, start, step)["total"])

@@ -28,7 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from . import words
 from .shared import parts, saved, text_bytes
 
-BROADCAST_WORDS = 8_000_000
+BROADCAST_WORDS = 2_000_000
 OVER = 2048
 FLUSH_WORDS = 400_000
 
