@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import queries_marts  # noqa: F401
+from .registry import ORACLE_SQL, QUERIES
+
 FLAGSHIP = "metric_answer_rate_daily"
+
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
