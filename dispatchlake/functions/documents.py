@@ -19,4 +19,7 @@ def index_columns(payload: Column, wanted: dict[str, str]) -> list[Column]:
     def last(i: str) -> Column:
         return F.element_at(F.filter(parsed, lambda x: x["id"] == i), -1)["val"]
 
-    return [F.when(F.size(F.filter(parsed, lambda x, i=i: x["id"] == i)) > 0, last(i)).alias(name) for i, name in wanted.items()]
+    def there(i: str) -> Column:
+        return F.exists(parsed, lambda x: x["id"] == i)
+
+    return [F.when(there(i), last(i)).alias(name) for i, name in wanted.items()]
