@@ -97,7 +97,8 @@ def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256 and spans of every row of `docs`."""
     rows, _ = scan(docs.select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    of_kind = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k))
+    counts = [of_kind(k).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
     joined = lambda spans: F.array_join(F.transform(spans, _named), ",")
     return rows.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
