@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -191,7 +191,15 @@ class Join:
         #: one row for each class that can link with another, numbered
         self.classes = saved(once.withColumn("node", F.monotonically_increasing_id()), "prefixes")
         ranges = (F.get("ranges", F.lit(r)).alias(f"r{r}") for r in range(RANGES))
-        return self.classes.select("node", "n", "own", *ranges, F.posexplode("tokens").alias("p", "token")).select("*", (F.col("p") + F.col("own")).alias("i")).drop("p")
+        sent = self.classes.select("node", "n", *ranges, F.posexplode("tokens").alias("p", "token"))
+        shared = saved(sent.groupBy("token").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("token"), "shared")
+        # The sketch takes some shingles for shared that are not. What a prefix has of its own is now exact:
+        # it stands first, and the places of the others move up.
+        prefix = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
+        own = (prefix - F.count(F.lit(1)).over(Window.partitionBy("node"))).cast("int")
+        place = F.row_number().over(Window.partitionBy("node").orderBy("p"))
+        met = sent.join(shared, "token", "left_semi")
+        return saved(met.withColumn("own", own).withColumn("i", F.col("own") + place - 1).drop("p"), "postings")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link. Both sets are brought together once."""
@@ -210,19 +218,17 @@ class Join:
     def links(self) -> DataFrame:
         """a, b (nodes of classes) of links whose connected components are those of all links."""
         postings = self._postings()
-        columns = postings.columns
+        columns = [c for c in postings.columns if c != "token"]
         # the class with the smallest share of shingles of its own is the hub of its shingles
-        order = F.struct((F.col("own") / F.col("n")).alias("share"), F.xxhash64("node").alias("draw"), *(F.col(c) for c in columns if c != "token"))
-        shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("classes"), F.min(order).alias("hub")).filter("classes > 1")
-        shared = saved(shared.select("token", "hub.*"), "hubs")
-        joined = postings.alias("x").join(shared.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.node") != F.col("y.node")) & _may_link("x", "y", self.percent))
+        order = F.struct((F.col("own") / F.col("n")).alias("share"), F.xxhash64("node").alias("draw"), *map(F.col, columns))
+        hubs = saved(postings.groupBy("token").agg(F.min(order).alias("hub")).select("token", "hub.*"), "hubs")
+        joined = postings.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.node") != F.col("y.node")) & _may_link("x", "y", self.percent))
         pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
         first = saved(joined.select(*pair).distinct(), "hub-pairs")
         links = saved(self._verified(first), "hub-links")
         groups = components(links)
         # shingles whose classes are not all in one group by now
-        held = postings.join(shared.select("token"), "token", "left_semi").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        held = saved(held, "postings")
+        held = saved(postings.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")), "grouped")
         apart = held.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("token")
         held = saved(held.join(apart, "token", "left_semi"), "apart")
         other = held.alias("x").join(
