@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import words
+from .shared import bounded_batches
 
 N = 13
 #: A document is contaminated when 1 / CONTAMINATED_PART of its words are hit.
@@ -99,6 +100,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N, item_column: st
     """`docs` (a column text, others are kept) with n_words, spans (first word and word after the last
     of every occurrence, one after the other) and items (ids of the items found, sorted)."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     names = [c for c in docs.columns if c not in ("n_words", "spans", "items")]
     docs = docs.select(*(F.col(f"`{c}`") for c in names))
     items = benchmark.select(F.col(item_column).cast("string").alias("item_id"), F.col(text_column).cast("string").alias("text")).filter("text is not null")

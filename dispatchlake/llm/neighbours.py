@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import bounded_batches, saved
 
 DIMENSIONS = 8
 CONFIDENCE = 0.995
@@ -196,6 +196,7 @@ def nearest(vectors: DataFrame, is_query: F.Column, k: int = K, confidence: floa
     """query_id, rank, vec_id and score of the k nearest found for each row of `vectors` (vec_id, embedding)
     for which `is_query` holds, among all other rows."""
     spark = vectors.sparkSession
+    bounded_batches(spark)
     rows = vectors.filter("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.coalesce(is_query, F.lit(False)).alias("is_query"))
     lengths = rows.groupBy(F.size("embedding").alias("n")).count().filter("n > 0").orderBy(F.desc("count"), "n").first()
     shape = "query_id long, rank int, vec_id long, score double"

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import bounded_batches
+
 #: Changes with the rules: blobs are scanned anew under a new version.
 RULE_VERSION = 1
 #: Rows of one blob are joined with its findings in so many tasks.
@@ -70,6 +72,7 @@ def scan_new(docs: DataFrame, ledger: DataFrame | None = None, version: int = RU
     """Ledger rows (blob, rule_version, spans) of the blobs of `docs` that `ledger` has not seen under `version`.
 
     A partition sends each blob that it holds once."""
+    bounded_batches(docs.sparkSession)
     numbered = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text")).withColumn("blob", F.unhex(F.sha2("text", 256)))
     unseen = numbered if ledger is None else numbered.join(ledger.filter(F.col("rule_version") == version).select("blob"), "blob", "left_anti")
     # first() of one blob's rows is the same text whichever row it comes from

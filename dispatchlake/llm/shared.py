@@ -33,6 +33,19 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Texts come to Python tasks in batches of at most so many rows and bytes; a longer text is a batch of its own.
+BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to the bounds above: both sides of the pipe hold a batch at a time."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of all texts; sizes of sketches and numbers of blocks follow it."""
     return int(docs.agg(F.sum(F.octet_length(F.col(column)))).first()[0] or 0)

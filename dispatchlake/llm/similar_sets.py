@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import sketch, words
-from .shared import saved, text_bytes
+from .shared import bounded_batches, saved, text_bytes
 
 SHINGLE = 4
 PERCENT = 85
@@ -175,6 +175,7 @@ class Join:
 
     def __init__(self, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT):
         self.spark, self.percent, self.shingler = docs.sparkSession, percent, Shingler(shingle)
+        bounded_batches(self.spark)
         self.docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
         self.texts = self.docs.select("text")
         id_type = self.docs.schema["doc_id"].dataType

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch, words
-from .shared import parts, text_bytes
+from .shared import bounded_batches, parts, text_bytes
 
 WINDOW = 35
 ANCHOR = 16
@@ -187,6 +187,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     from pyspark.sql.pandas.types import to_arrow_type
 
     spark = docs.sparkSession
+    bounded_batches(spark)
     only = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     size = text_bytes(only)
     bits = sketch.bits_for(size / ANCHOR_BYTES, ROWS)

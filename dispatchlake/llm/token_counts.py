@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import words
-from .shared import parts, saved, text_bytes
+from .shared import bounded_batches, parts, saved, text_bytes
 
 BROADCAST_WORDS = 2_000_000
 OVER = 2048
@@ -191,6 +191,7 @@ def _summed(broadcast, schema: pa.Schema):
 def count_tokens(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every row of `docs` (doc_id, text)."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     counts = word_counts(docs, path)
     magnitudes = {r[0]: r[1] for r in counts.groupBy(F.floor(F.log2("times")).cast("int")).count().collect()}

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import words
+from .shared import bounded_batches
 
 BITS = 22
 FOLDS = 5
@@ -108,7 +109,7 @@ def held_out(doc_id) -> F.Column:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
     """(coordinates, weights, intercept) learnt from the labelled rows that are not held out."""
-    spark = docs.sparkSession
+    bounded_batches(docs.sparkSession)
     usable = labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = min(1.0, sample / max(1, usable.count()))
@@ -150,6 +151,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], column:
     from pyspark.sql import types as T
 
     docs = docs.drop(column)
+    bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = pa.schema([*((f.name, to_arrow_type(f.dataType)) for f in docs.schema), (column, pa.float64())])
     return docs.mapInArrow(_scorer(sent, schema), T.StructType([*docs.schema, T.StructField(column, T.DoubleType())]))
