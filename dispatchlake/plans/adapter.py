@@ -53,7 +53,7 @@ def observed_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(last, released).alias("release_source"),
         (F.col("o_custkey") % 10).alias("caller"),
         F.col("o_orderdate").alias("ordered_at"),
-        F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01").cast("date")).alias("batch_seq"),
+        F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01").cast("date")).cast("long").alias("batch_seq"),
     )
     return rows.withColumn("date_key", keys.date_key(F.col("wait_begin")))
 
