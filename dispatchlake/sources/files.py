@@ -33,6 +33,10 @@ def read_csv(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
         raise Rejected("the file is empty")
     header = next(iter(spark.createDataFrame([(first[0][0],)], "line string").select(F.from_csv("line", ",".join(f"c{i} string" for i in range(first[0][0].count(",") + 1))).alias("r")).select("r.*").collect()))
     header = [h or "" for h in header]
+    # line readers skip a byte order mark; here it belongs to the first name
+    marked = spark.read.format("binaryFile").load(path).filter(F.hex(F.substring("content", 1, 3)) == "EFBBBF").select("path")
+    if not marked.isEmpty():
+        header[0] = "\ufeff" + header[0]
     found = header_findings(header, contract)
     if found["missing"] or found["repeated"]:
         raise Rejected(f"header: {found}")
