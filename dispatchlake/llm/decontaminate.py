@@ -149,11 +149,23 @@ def hit_words() -> F.Column:
     return F.when(F.size("spans") == 0, F.lit(0)).otherwise(F.aggregate(pairs, start, step)["total"])
 
 
+_FOUND = ("n_words", "spans", "items")
+
+
+def _aside(docs: DataFrame) -> DataFrame:
+    """`docs` with its own columns of the names that find_hits adds put aside."""
+    return docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c in _FOUND})
+
+
+def _back(docs: DataFrame, found: DataFrame) -> DataFrame:
+    return found.select(*(F.col(f"`_own_{c}`" if c in _FOUND else f"`{c}`").alias(c) for c in docs.columns))
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """The rows of `docs` that are not contaminated, with their own columns."""
-    hits = find_hits(docs, benchmark, n)
+    hits = find_hits(_aside(docs), benchmark, n)
     n_hit = hit_words()
-    return hits.filter((n_hit == 0) | (CONTAMINATED_PART * n_hit < F.col("n_words"))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return _back(docs, hits.filter((n_hit == 0) | (CONTAMINATED_PART * n_hit < F.col("n_words"))))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,8 +189,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def cut_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """Every row of `docs` with the words inside any occurrence of a window cut out of its text; null texts
     are empty then."""
-    hits = find_hits(docs, benchmark, n)
-    return hits.mapInArrow(_cut, hits.schema).select(*(F.col(f"`{c}`") for c in docs.columns))
+    hits = find_hits(_aside(docs), benchmark, n)
+    return _back(docs, hits.mapInArrow(_cut, hits.schema))
 
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -96,8 +96,8 @@ def thresholds(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     return wanted.select("source", "source_size", "target", "passes", (F.coalesce("prefix", F.lit(0)) + F.coalesce(nearer, F.lit(0))).alias("threshold"))
 
 
-def times() -> F.Column:
-    return F.col("passes") + F.when(_prefix(LEVELS) < F.col("threshold"), 1).otherwise(0)
+def times(passes: str = "passes", prefix: F.Column | None = None, threshold: str = "threshold") -> F.Column:
+    return F.col(passes) + F.when((_prefix(LEVELS) if prefix is None else prefix) < F.col(threshold), 1).otherwise(0)
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -116,10 +116,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
 
 def apply_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it (rows of no words never)."""
-    found = thresholds(measured(docs), weights, most).withColumnRenamed("source", "_source")
+    found = thresholds(measured(docs), weights, most).select(F.col("source").alias("_source"), F.col("passes").alias("_passes"), F.col("threshold").alias("_threshold"))
     text = F.col("text")
-    again = docs.withColumns({"hash": hash_of(F.col("doc_id"), text)}).join(found, F.col("source").eqNullSafe(F.col("_source")))
-    again = again.withColumn("_times", F.when(text.rlike(r"[^\x20\x09-\x0D]"), times()).otherwise(0)).filter("_times > 0")
+    prefix = F.shiftright(hash_of(F.col("doc_id"), text), HASH_BITS - BITS * LEVELS)
+    again = docs.join(found, F.col("source").eqNullSafe(F.col("_source")))
+    again = again.withColumn("_times", F.when(text.rlike(r"[^\x20\x09-\x0D]"), times("_passes", prefix, "_threshold")).otherwise(0)).filter("_times > 0")
     return again.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_pass")).drop("_pass")
 
 

@@ -184,7 +184,7 @@ def test_decontamination(spark, most):
     rows = base_rows([(20 + i, t) for i, t in enumerate(texts)] + [(20, texts[0])])
     docs, bench = clash(frame(spark, rows)), spark.createDataFrame(ITEMS, "item_id long, text string")
     kept = decontaminate.drop_contaminated(docs, bench)
-    assert kept.columns == docs.columns
+    assert kept.columns == docs.columns and {(r["n_words"], r["spans"]) for r in kept.collect()} == {("x", 3)}
     want = []
     for i, t in rows:
         w, hit, items = brute_hits(t)
@@ -237,8 +237,8 @@ def test_mixing(spark):
         taken[s] = taken.get(s, 0) + r["taken"]
     for s in sizes:
         assert abs(taken[s] - target[s]) <= 60, (s, taken[s], target[s])
-    out = mixing.apply_mix(docs)
-    assert out.columns == docs.columns
+    out = mixing.apply_mix(clash(docs))
+    assert out.columns == clash(docs).columns and {r["hash"] for r in out.collect()} == {1}
     assert out.agg(F.sum(mixing.size_of(F.col("text")))).first()[0] == sum(taken.values())
     assert mixing.mix(frame(spark, [], "doc_id long, text string, source string")).count() == 0
 
