@@ -12,7 +12,7 @@ where it has none). Two documents link when their sets' Jaccard similarity is at
    given both places) and the suffix filter (shared shingles by hash range cannot exceed the smaller count
    of either set). Each pair is verified once, on the shingles themselves.
 4. A shingle that many classes share is not paired with itself: its classes first meet one hub, the class
-   with the fewest shingles of its own. Only classes that the links found so far leave in different groups
+   that has most shingles in common with others. Only classes that the links found so far leave in different groups
    are then paired with each other, under the same filters, so no link between groups is lost and a group
    of near copies costs as many pairs as it has members.
 5. Groups are the connected components of the links, by label spreading with pointer jumping.
@@ -150,8 +150,7 @@ def _may_link(a: str, b: str, percent: int) -> F.Column:
     c = lambda side, name: F.col(f"{side}.{name}")
     n, m = c(a, "n"), c(b, "n")
     length = (n * 100 >= m * percent) & (m * 100 >= n * percent)
-    before = F.least(c(a, "i") - c(a, "own"), c(b, "i") - c(b, "own"))
-    positional = linked(before + 1 + F.least(n - c(a, "i") - 1, m - c(b, "i") - 1), n, m, percent)
+    positional = linked(F.least(c(a, "before"), c(b, "before")) + 1 + F.least(n - c(a, "i") - 1, m - c(b, "i") - 1), n, m, percent)
     suffix = linked(sum((F.least(c(a, f"r{r}"), c(b, f"r{r}")) for r in range(1, RANGES)), F.least(c(a, "r0"), c(b, "r0"))), n, m, percent)
     return length & positional & suffix
 
@@ -192,15 +191,16 @@ class Join:
         #: one row for each class that can link with another, numbered
         self.classes = saved(once.withColumn("node", F.monotonically_increasing_id()), "prefixes")
         ranges = (F.get("ranges", F.lit(r)).alias(f"r{r}") for r in range(RANGES))
-        sent = self.classes.select("node", "n", *ranges, F.posexplode("tokens").alias("p", "token"))
-        shared = saved(sent.groupBy("token").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1").select("token"), "shared")
-        # The sketch takes some shingles for shared that are not. What a prefix has of its own is now exact:
-        # it stands first, and the places of the others move up.
-        prefix = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
-        own = (prefix - F.count(F.lit(1)).over(Window.partitionBy("node"))).cast("int")
-        place = F.row_number().over(Window.partitionBy("node").orderBy("p"))
-        met = sent.join(shared, "token", "left_semi")
-        return saved(met.withColumn("own", own).withColumn("i", F.col("own") + place - 1).drop("p"), "postings")
+        sent = self.classes.select("node", "n", "own", *ranges, F.posexplode("tokens").alias("p", "token"))
+        shared = saved(sent.groupBy("token").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1"), "shared")
+        # The sketch takes some shingles for shared that are not. Of what stands before a shared shingle, only what
+        # another prefix holds too can be shared with it: in any other set, too, it would stand before.
+        node = Window.partitionBy("node")
+        before = F.row_number().over(node.orderBy("p")) - 1
+        # classes with which a set shares a place of its prefix, on average: the centre of a group has most
+        common = F.sum("classes").over(node) / (F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1)
+        met = sent.join(shared, "token").withColumns({"before": before, "common": common, "i": F.col("own") + F.col("p")})
+        return saved(met.drop("p", "own", "classes"), "postings")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link. Both sets are brought together once."""
@@ -220,8 +220,8 @@ class Join:
         """a, b (nodes of classes) of links whose connected components are those of all links."""
         postings = self._postings()
         columns = [c for c in postings.columns if c != "token"]
-        # the class with the smallest share of shingles of its own is the hub of its shingles
-        order = F.struct((F.col("own") / F.col("n")).alias("share"), F.xxhash64("node").alias("draw"), *map(F.col, columns))
+        # the class that has most in common with the others is the hub of its shingles
+        order = F.struct((-F.col("common")).alias("rank"), F.xxhash64("node").alias("draw"), *map(F.col, columns))
         hubs = saved(postings.groupBy("token").agg(F.min(order).alias("hub")).select("token", "hub.*"), "hubs")
         joined = postings.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.node") != F.col("y.node")) & _may_link("x", "y", self.percent))
         pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
