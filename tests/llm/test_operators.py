@@ -149,6 +149,20 @@ def test_similar_groups(spark):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(firsts)
 
 
+@pytest.mark.parametrize("seed", [11, 12])
+def test_similar_groups_of_overlapping_sets(spark, seed):
+    """Single words, so that sets share much and prefixes hold what others hold behind theirs."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(12):
+        base = rng.sample(range(70), rng.randrange(15, 45))
+        for _ in range(14):
+            w = [x for x in base if rng.random() > 0.05] + rng.sample(range(70, 90), rng.randrange(0, 3))
+            rng.shuffle(w)
+            rows.append((len(rows), " ".join(f"w{x}" for x in w)))
+    assert collected(similar_sets.group_similar(frame(spark, rows), shingle=1)) == brute_groups(rows, 1, 85)
+
+
 def test_similar_groups_of_nothing(spark):
     assert similar_sets.group_similar(frame(spark, [])).count() == 0
     same = frame(spark, [(7, "a b c d e"), (7, "a b c d e"), (5, "a b c d e")])
