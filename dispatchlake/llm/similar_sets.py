@@ -152,7 +152,9 @@ def _may_link(a: str, b: str, percent: int) -> F.Column:
     length = (n * 100 >= m * percent) & (m * 100 >= n * percent)
     positional = linked(F.least(c(a, "before"), c(b, "before")) + 1 + F.least(n - c(a, "i") - 1, m - c(b, "i") - 1), n, m, percent)
     suffix = linked(sum((F.least(c(a, f"r{r}"), c(b, f"r{r}")) for r in range(1, RANGES)), F.least(c(a, "r0"), c(b, "r0"))), n, m, percent)
-    return length & positional & suffix
+    # the first shingle that two sets share stands where enough of both is still to come: one such place will do
+    first = linked(n - c(a, "i"), n, m, percent) & linked(m - c(b, "i"), n, m, percent)
+    return length & first & positional & suffix
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -236,7 +238,7 @@ class Join:
             held.alias("y"),
             (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _may_link("x", "y", self.percent),
         )
-        rest = other.select(*pair).distinct().join(first, ["a", "b"], "left_anti")
+        rest = saved(other.select(*pair).distinct(), "rest").join(first, ["a", "b"], "left_anti")
         return links.unionByName(self._verified(rest))
 
     def groups(self) -> DataFrame:
@@ -260,7 +262,8 @@ def drop_similar(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
     of rows that repeat id and text, one stays."""
     groups = group_similar(docs, shingle, percent)
     by_id = saved(groups.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"), F.count(F.lit(1)).alias("rows")), "kept")
-    out = docs.join(by_id.filter("doc_id is not null and not first").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    # ids to drop grow with the input: they are shuffled at every size
+    out = docs.join(by_id.filter("doc_id is not null and not first").select("doc_id").hint("merge"), "doc_id", "left_anti").select(*docs.columns)
     if by_id.filter("doc_id is not null and rows > 1").isEmpty():
         return out
     return out.filter("doc_id is null").unionByName(out.filter("doc_id is not null").dropDuplicates(["doc_id", "text"]))
