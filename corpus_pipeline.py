@@ -11,13 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dispatchlake.llm import decontaminate, mixing, sharding, shared, similar_sets, toxicity
 
+#: Near copies of the pipeline share at least so many percent of their shingles of five words; op5 has its own bounds.
+SHINGLE = 5
+PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return similar_sets.drop_similar(docs)
+    return similar_sets.drop_similar(docs, SHINGLE, PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
