@@ -40,6 +40,14 @@ def registrations(batches: DataFrame, model: str) -> DataFrame:
     return batches.select(F.lit(model).alias("model"), *BATCH).distinct()
 
 
+def core_registrations(staged: DataFrame, ingested: DataFrame, registry: DataFrame, staging: str, core: str) -> DataFrame:
+    """Registry rows a core model adds: batches of the staged rows, and staged batches that wrote no row."""
+    at = registry.filter(F.col("model") == staging).select(*BATCH)
+    empty = ingested.filter("rows_written = 0").select(*BATCH).join(at, BATCH, "left_semi")
+    done = registry.filter(F.col("model") == core).select(*BATCH)
+    return registrations(staged.select(*BATCH).union(empty).join(done, BATCH, "left_anti"), core)
+
+
 def forget(registry: DataFrame, model: str) -> DataFrame:
     """The registry for a rebuild of the model."""
     return registry.filter(F.col("model") != model)

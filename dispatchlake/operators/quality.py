@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.content import differs
 from .incremental import BATCH
+from .intervals import version_at
 
 
 def batch_findings(rows: DataFrame, rules: dict[str, Column], batch: list[str] = BATCH) -> DataFrame:
@@ -38,6 +39,21 @@ def stored_links_differ(facts: DataFrame, link: str, rule: str) -> DataFrame:
     return facts.filter(~F.col(link).eqNullSafe(F.col(rule)))
 
 
+def legs_without_dimension(legs: DataFrame, dimensions: dict[int, DataFrame]) -> DataFrame:
+    """Legs that no version of their device covers, by device: how many, the first and the last.
+
+    dimensions: versions by device type; a type is silent while its dimension is empty."""
+    covered = {code: versions.withColumn("_sk", F.lit(True)) for code, versions in dimensions.items() if not versions.isEmpty()}
+    own = legs.filter(F.col("device_type_code").isin(list(covered)))
+    versions = None
+    for code, v in covered.items():
+        part = v.select(F.struct(F.lit(code).alias("device_type_code"), "device_no").alias("_device"), "valid_from", "valid_to", "_sk")
+        versions = part if versions is None else versions.unionByName(part)
+    if versions is not None:
+        own = version_at(own.withColumn("_device", F.struct("device_type_code", "device_no")), versions, "_device", "wait_begin", ["_sk"]).filter("_sk is null")
+    return own.groupBy("device_type_code", "device_no").agg(F.count(F.lit(1)).alias("legs"), F.min("wait_begin").alias("first_leg"), F.max("wait_begin").alias("last_leg"))
+
+
 def duration_differs(sessions: DataFrame, start: str, end: str, duration: str, seconds: int = 60) -> DataFrame:
     return sessions.filter(F.abs(F.col(duration) - (F.col(end) - F.col(start))) > seconds)
 

@@ -63,6 +63,17 @@ def _(spark, sf):
     return _registry(spark, sf).unionByName(incremental.registrations(open_, "stg_events"))
 
 
+@query("inc_03_core_batches_with_empty", f"{_EVENTS} SELECT 'core_events' AS model, 'r1' AS run_id, batch_seq FROM batches WHERE batch_seq >= 5 AND (batch_seq < 10 OR batch_seq NOT IN (SELECT * FROM held))")
+def _(spark, sf):
+    """Every fourth batch wrote no row; the core model has the first five."""
+    ingested = _batches(spark, sf).withColumn("rows_written", F.when(F.col("batch_seq") % 4 == 1, 0).otherwise(F.col("n")))
+    open_ = incremental.processable(_batches(spark, sf), _quarantine(spark, sf), _registry(spark, sf), "stg_events")
+    staged = _registry(spark, sf).unionByName(incremental.registrations(open_, "stg_events"))
+    core = incremental.registrations(_batches(spark, sf).filter("batch_seq < 5"), "core_events")
+    rows = incremental.scan_batches(_raw(spark, sf).filter("batch_seq % 4 <> 1"), staged)
+    return incremental.core_registrations(rows, ingested, staged.unionByName(core), "stg_events", "core_events")
+
+
 @query("inc_04_forget_model", f"{_EVENTS} SELECT 'core_events' AS model, batch_seq FROM registry WHERE batch_seq < 5")
 def _(spark, sf):
     both = _registry(spark, sf).unionByName(incremental.registrations(_batches(spark, sf).filter("batch_seq < 5"), "core_events"))
@@ -106,6 +117,28 @@ def _(spark, sf):
     return incremental.upserts(candidates, stored, LEG, LEG_CONTENT, "observed_at").select(*LEG, "content_hash")
 
 
+def _upsert_sql(key):
+    """Upsert of observed events by agent and `key`: a text of the sign-in hour, or a day."""
+    one = lambda i: f"SELECT * FROM seen WHERE event_id % 3 = {i} AND NOT EXISTS (SELECT 1 FROM seen o WHERE o.agent_no = seen.agent_no AND o.k = seen.k AND o.event_id % 3 = {i} AND (o.ts > seen.ts OR (o.ts = seen.ts AND o.content_hash < seen.content_hash)))"
+    return f"WITH seen AS (SELECT user_id AS agent_no, {key} AS k, ts, event_id, event_type, md5(event_id::VARCHAR) AS content_hash FROM events), stored AS ({one(0)}), cand AS ({one(1)}) SELECT c.agent_no, c.k, c.content_hash FROM cand c LEFT JOIN stored s USING (agent_no, k) WHERE s.agent_no IS NULL OR (c.event_type IS DISTINCT FROM s.event_type AND c.ts >= s.ts)"
+
+
+def _agent_upserts(spark, sf, key, name):
+    rows = table(spark, sf, "events").select(F.col("user_id").alias("agent_no"), key.alias(name), "ts", "event_id", "event_type", F.md5(F.col("event_id").cast("string")).alias("content_hash"))
+    stored, candidates = (incremental.newest(rows.filter(f"event_id % 3 = {i}"), ["agent_no", name], "ts", "content_hash") for i in (0, 1))
+    return incremental.upserts(candidates, stored, ["agent_no", name], ["event_type"], "ts").select("agent_no", name, "content_hash")
+
+
+@query("inc_12_upsert_sessions", f"SELECT agent_no, k AS in_time, content_hash FROM ({_upsert_sql("strftime(ts, '%Y-%m-%d %H')")})")
+def _(spark, sf):
+    return _agent_upserts(spark, sf, F.date_format("ts", "yyyy-MM-dd HH"), "in_time")
+
+
+@query("inc_12_upsert_days", f"SELECT agent_no, k AS date_key, content_hash FROM ({_upsert_sql("strftime(ts, '%Y%m%d')::INTEGER")})")
+def _(spark, sf):
+    return _agent_upserts(spark, sf, F.date_format("ts", "yyyyMMdd").cast("int"), "date_key")
+
+
 @query("src_10_after_upsert", f"{_UPSERT} SELECT date_key // 100 AS month, count(*) AS n FROM (SELECT * FROM stored s WHERE NOT EXISTS (SELECT 1 FROM written w WHERE w.call_id = s.call_id AND w.line = s.line) UNION ALL SELECT * FROM written) GROUP BY 1")
 def _(spark, sf):
     stored, candidates = _two_loads(spark, sf)
@@ -277,6 +310,21 @@ def _(spark, sf):
     return scd2.unlinked(linked, _links(spark, sf), "agent_no", "agent_sk")
 
 
+_QUEUES = "queues AS (SELECT q AS device_no, CASE WHEN q = 3 THEN TIMESTAMP '1998-01-01' ELSE TIMESTAMP '9999-12-31' END AS valid_to FROM (SELECT unnest([1, 2, 3, 4]) AS q))"
+
+
+@query("dq_13_unlinked_agent_and_queue_legs", f"""{BASE}, {_LINKS}, {_QUEUES} SELECT device_type_code, device_no, count(*) AS legs, min(wait_begin) AS first_leg, max(wait_begin) AS last_leg FROM legs l
+  WHERE (device_type_code = 2 AND NOT EXISTS (SELECT 1 FROM versions v WHERE v.agent_no = l.device_no AND l.wait_begin >= epoch(valid_from) AND l.wait_begin < epoch(valid_to)))
+     OR (device_type_code = 1 AND NOT EXISTS (SELECT 1 FROM queues q WHERE q.device_no = l.device_no AND l.wait_begin < epoch(valid_to))) GROUP BY 1, 2""")
+def _(spark, sf):
+    """Queue 0 has no version, that of queue 3 ends in 1998."""
+    until = F.when(F.col("id") == 3, F.lit("1998-01-01")).otherwise(F.lit(scd2.OPEN)).cast("timestamp")
+    queues = spark.range(1, 5).select(F.col("id").alias("device_no"), F.lit(scd2.SENTINEL).cast("timestamp").alias("valid_from"), until.alias("valid_to"))
+    agents = _links(spark, sf).withColumnRenamed("agent_no", "device_no")
+    found = quality.legs_without_dimension(legs(spark, sf), {call_ops.AGENT: agents, call_ops.QUEUE: queues})
+    return found.withColumns({c: F.unix_timestamp(c) for c in ("first_leg", "last_leg")})
+
+
 @query("scd_13_reference_codes", """WITH o AS (SELECT n_regionkey AS domain, n_nationkey AS code, n_name AS label, n_nationkey % 6 <> 0 AS was FROM nation WHERE n_nationkey % 4 <> 0), n AS (SELECT n_regionkey AS domain, n_nationkey AS code, n_name || CASE WHEN n_nationkey % 5 = 0 THEN '!' ELSE '' END AS label FROM nation WHERE n_nationkey % 3 <> 0 AND n_regionkey IN (0, 1, 2))
   SELECT domain, code, CASE WHEN domain < 3 THEN coalesce(n.label, o.label) ELSE o.label END AS label, CASE WHEN domain < 3 THEN n.label IS NOT NULL ELSE was END AS is_current,
   CASE WHEN domain >= 3 THEN 'untouched' WHEN was IS NULL THEN 'inserted' WHEN n.label IS NULL THEN CASE WHEN was THEN 'retired' ELSE 'untouched' END WHEN NOT was THEN 'returned' WHEN o.label <> n.label THEN 'relabelled' ELSE 'untouched' END AS action
@@ -582,6 +630,39 @@ def _(spark, sf):
     return _sessions(spark, sf)
 
 
+_AGENT_VERSIONS = "versions AS (SELECT user_id AS agent_no, user_id * 10 + v AS agent_sk, CASE WHEN v = 1 THEN 0 WHEN user_id % 2 = 0 THEN 1705298400 ELSE 1704888000 END AS f, CASE WHEN v = 1 THEN 1704888000 ELSE 253402214400 END AS t FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 9 <> 0), (SELECT unnest([1, 2]) AS v))"
+_STORED_SK = "CASE WHEN user_id % 4 <> 3 THEN user_id * 10 + 1 END"
+
+
+def _agent_versions(events):
+    """Two versions of an agent, cut on 10 January 2024 at noon; every other agent has none until the 15th, 6 o'clock."""
+    second = F.when(F.col("agent_no") % 2 == 0, 1705298400).otherwise(1704888000)
+    v = F.inline(F.array(F.struct(F.lit(1).alias("v"), F.lit(0).cast("long").alias("valid_from"), F.lit(1704888000).cast("long").alias("valid_to")), F.struct(F.lit(2).alias("v"), second.cast("long").alias("valid_from"), F.lit(253402214400).alias("valid_to"))))
+    agents = events.filter("user_id % 9 <> 0").select(F.col("user_id").alias("agent_no")).distinct()
+    return agents.select("agent_no", v).withColumn("agent_sk", F.col("agent_no") * 10 + F.col("v"))
+
+
+@query("dq_03_session_and_day_links", f"""WITH {_SESSIONS}, {_AGENT_VERSIONS},
+  d AS (SELECT DISTINCT user_id, (floor(epoch(ts))::BIGINT + 10800) // 86400 AS day FROM events),
+  found AS (SELECT 'session' AS model, event_id AS fact, user_id, {_STORED_SK} AS stored_sk, (SELECT max(agent_sk) FROM versions WHERE agent_no = user_id AND signin >= f AND signin < t) AS agent_sk FROM s WHERE event_type = 'signup'
+    UNION ALL SELECT 'day', day, user_id, {_STORED_SK}, (SELECT max(agent_sk) FROM versions WHERE agent_no = user_id AND f < (day + 1) * 86400 - 10800 AND t > day * 86400 - 10800) FROM d)
+  SELECT model, fact, user_id AS agent_no, stored_sk, agent_sk FROM found WHERE agent_sk IS DISTINCT FROM stored_sk""")
+def _(spark, sf):
+    from ..operators.intervals import version_at, version_in
+
+    events = table(spark, sf, "events")
+    versions = _agent_versions(events)
+    stored = F.when(F.col("agent_no") % 4 != 3, F.col("agent_no") * 10 + 1)
+    sessions = _sessions(spark, sf).select(F.lit("session").alias("model"), F.col("event_id").alias("fact"), F.col("user_id").alias("agent_no"), "signin")
+    day = F.floor((F.unix_timestamp(F.col("ts").cast("timestamp")) + 10800) / 86400)
+    days = events.select(F.lit("day").alias("model"), day.alias("fact"), F.col("user_id").alias("agent_no")).distinct()
+    days = days.withColumns({"a": F.col("fact") * 86400 - 10800, "b": F.col("fact") * 86400 + 75600})
+    at = version_at(sessions, versions, "agent_no", "signin", ["agent_sk"]).drop("signin")
+    on = version_in(days, versions, "agent_no", "a", "b", ["agent_sk"], ["agent_no", "fact"]).drop("a", "b")
+    linked = at.unionByName(on).withColumn("stored_sk", stored).select("model", "fact", "agent_no", "stored_sk", "agent_sk")
+    return quality.stored_links_differ(linked, "stored_sk", "agent_sk")
+
+
 @query("dq_05_session_duration", f"WITH {_SESSIONS} SELECT event_id FROM s WHERE event_type = 'signup' AND abs(signin % 4000 - (signout - signin)) > 60")
 def _(spark, sf):
     return quality.duration_differs(_sessions(spark, sf).withColumn("duration", F.col("signin") % 4000), "signin", "signout", "duration").select("event_id")

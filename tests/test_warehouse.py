@@ -268,3 +268,25 @@ def test_closing_is_blocked_by_one_day(spark):
 def test_marts_zero_fill(spark):
     c = spark.createDataFrame([(20260101, "inbound", True, "abandoned", "x"), (20260101, "inbound", True, "abandoned", "x"), (20260102, "inbound", True, "answered", "y")], "date_key int, direction string, is_complete boolean, call_result string, caller_number string")
     assert sorted(map(tuple, marts.repeat_failed(c).collect())) == [(20260101, 1, 2), (20260102, 0, 0)]
+
+
+def test_survey_items_have_rows_of_their_own():
+    """Each job under a name with SQL that no other query has."""
+    from collections import Counter
+
+    from dispatchlake.plans import catalog
+
+    used = Counter(catalog.ORACLE_SQL.values())
+    for name in ("dq_03_session_and_day_links", "dq_13_unlinked_agent_and_queue_legs", "inc_12_upsert_sessions", "inc_12_upsert_days", "inc_03_core_batches_with_empty"):
+        assert used[catalog.ORACLE_SQL[name]] == 1
+
+
+def test_legs_of_a_type_without_dimension_are_silent(spark):
+    from dispatchlake.operators import quality
+
+    rows = spark.sql("select * from values (1, 5L, timestamp'2024-01-01'), (1, 6L, timestamp'2024-01-02'), (2, 5L, timestamp'2024-01-03'), (2, 7L, timestamp'2024-01-04') t(device_type_code, device_no, wait_begin)")
+    queues = spark.sql("select 5L device_no, timestamp'2020-01-01' valid_from, timestamp'2030-01-01' valid_to")
+    found = lambda dimensions: sorted((r[0], r[1], r[2]) for r in quality.legs_without_dimension(rows, dimensions).collect())
+    assert found({1: queues, 2: queues}) == [(1, 6, 1), (2, 7, 1)]
+    assert found({1: queues, 2: queues.filter("false")}) == [(1, 6, 1)]
+    assert found({1: queues.filter("false")}) == []
