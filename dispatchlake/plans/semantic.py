@@ -291,4 +291,7 @@ def controlled_sql(spark, text: str, views: frozenset[str], most: int = MAX_ROWS
     views_used = {v for v in used if spark.catalog.tableExists(v)}
     if views_used - views or re.search(r"\b(parquet|csv|json|orc|text)\.`", text.lower()):
         raise ERRORS["metric_forbidden"](", ".join(sorted(views_used - views)))
-    return df.limit(most)
+    found = df.limit(most + 1).collect()
+    if len(found) > most:
+        raise ERRORS["result_too_large"]()
+    return spark.createDataFrame(found, df.schema)

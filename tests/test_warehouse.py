@@ -290,3 +290,12 @@ def test_legs_of_a_type_without_dimension_are_silent(spark):
     assert found({1: queues, 2: queues}) == [(1, 6, 1), (2, 7, 1)]
     assert found({1: queues, 2: queues.filter("false")}) == [(1, 6, 1)]
     assert found({1: queues.filter("false")}) == []
+
+
+def test_controlled_sql_never_cuts(spark):
+    spark.range(3).createOrReplaceTempView("three_rows")
+    views = frozenset({"three_rows"})
+    assert semantic.controlled_sql(spark, "SELECT * FROM three_rows", views, 3).count() == 3
+    assert semantic.controlled_sql(spark, "SELECT * FROM three_rows WHERE id > 7", views, 3).columns == ["id"]
+    with pytest.raises(semantic.ERRORS["result_too_large"]):
+        semantic.controlled_sql(spark, "SELECT * FROM three_rows", views, 2)
