@@ -2,20 +2,24 @@
 
 Vectors are scaled to length 1, so that the nearest by cosine are the nearest by distance, and projected
 to DIMENSIONS Gaussian (2-stable) directions: the squared projected distance of two vectors, divided by
-their true one, follows a chi-square law with DIMENSIONS degrees of freedom. A query's points are met in
-the order of projected distance, a leaf of a kd-tree at a time; each is verified with the true cosine. The
-search stops once the projected distance that comes next, against the k-th distance so far, exceeds the
-law's CONFIDENCE quantile: a neighbour nearer than that is still unmet with a probability below
-1 - CONFIDENCE.
-
-The upper part of the tree is cut from a sample of at most SAMPLE rows; every row is then put into its
-cell. Cells are cut into blocks of about BLOCK rows by a hash of the id (equal vectors, however many,
-spread over the blocks of their cell), each with its own tree. A query searches its own cell first; the
-k-th distance found there tells which other cells' boxes its projected ball meets, and it goes to those.
+their true one, follows a chi-square law with DIMENSIONS degrees of freedom. A query meets the points in
+the order of their projected distance, and each is verified with the true cosine, until the next projected
+distance, against the k-th true one so far, exceeds the law's CONFIDENCE quantile: a neighbour nearer than
+that is still unmet with a probability below 1 - CONFIDENCE. What is verified follows the data: vectors in
+clusters stop early, vectors without any structure make every index look at many.
+
+1. Equal vectors are one class that keeps its k + 1 smallest rows: no more can be among any k nearest. A
+   vector that a third of the rows hold is one point of the index, and one query.
+2. The upper tree is cut at medians of a sample of at most SAMPLE rows, about BLOCK rows a cell; every
+   class is put into its cell. What a sample cannot cut any more (cells of fewer than LEAST sampled rows)
+   is cut by halving the cell's box, as often as its number of classes asks, so cells keep about BLOCK
+   rows at any size.
+3. A query's k-th distance in one block of its own cell is its first bound. It is then sent to the cells
+   whose boxes its projected ball meets, whose leaves are found by a kd-tree of their own.
 
 Vectors that are null, zero, of another than the most frequent length, or hold null or non-finite
-components take no part, nor do rows without an id; repeated ids are rows of their own, but never a
-neighbour of a query with the same id. Ties go to the smaller id.
+components take no part, nor do rows without an id. Rows that share an id are rows of their own: each is
+a candidate of the other, and each query row has its own result. Ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -29,14 +33,17 @@ from pyspark.sql import functions as F
 
 from .shared import bounded_batches, saved
 
-DIMENSIONS = 8
-CONFIDENCE = 0.995
+#: On vectors without structure (64 Gaussian components) fewer directions let nearly every point pass.
+DIMENSIONS = 24
+CONFIDENCE = 0.97
 SEED = 20_240_601
-SAMPLE = 20_000
+#: Distinct vectors that may cut the upper tree, at most about: 25 MB of points.
+SAMPLE = 1 << 17
+LEAST = 16
 BLOCK = 4096
 LEAF = 128
-#: Cells of the upper tree, at most.
-CELLS = 256
+#: Points that are verified between two looks at the stop.
+STEP = 64
 K = 5
 
 
@@ -82,24 +89,62 @@ class Cells:
     """The upper tree: a row's cell is found by comparing one projected coordinate at a time."""
 
     def __init__(self, sample: np.ndarray, depth: int):
-        self.nodes: list[tuple[int, float] | None] = [None] * ((1 << depth) - 1)
         self.depth = depth
+        self.dims, self.cuts = np.zeros((1 << depth) - 1, np.int64), np.zeros((1 << depth) - 1)
         rows = {0: sample}
-        for node in range(len(self.nodes)):
+        for node in range(len(self.dims)):
             own = rows.pop(node)
-            d = int(np.argmax(own.max(0) - own.min(0))) if len(own) else 0
-            at = float(np.median(own[:, d])) if len(own) else 0.0
-            self.nodes[node] = (d, at)
-            low = own[:, d] <= at if len(own) else np.zeros(0, bool)
+            if len(own):
+                self.dims[node] = np.argmax(own.max(0) - own.min(0))
+                self.cuts[node] = np.median(own[:, self.dims[node]])
+            low = own[:, self.dims[node]] <= self.cuts[node]
             rows[2 * node + 1], rows[2 * node + 2] = own[low], own[~low]
 
     def of(self, points: np.ndarray) -> np.ndarray:
         node = np.zeros(len(points), np.int64)
-        if self.nodes:
-            dims, cuts = np.array([n[0] for n in self.nodes]), np.array([n[1] for n in self.nodes])
-            for _ in range(self.depth):
-                node = 2 * node + 1 + (points[np.arange(len(points)), dims[node]] > cuts[node])
-        return node - len(self.nodes)
+        for _ in range(self.depth):
+            node = 2 * node + 1 + (points[np.arange(len(points)), self.dims[node]] > self.cuts[node])
+        return node - len(self.dims)
+
+
+class Boxes:
+    """The cells' boxes and how often each dimension of a cell is halved: what a query's ball may meet."""
+
+    def __init__(self, cells: np.ndarray, n: np.ndarray, low: np.ndarray, high: np.ndarray):
+        self.cells, self.low, self.high = cells, low, high
+        self.halved = np.zeros(low.shape, np.int64)
+        for i, depth in enumerate(np.ceil(np.log2(np.maximum(1, n / BLOCK))).astype(int).tolist()):
+            for _ in range(depth):
+                self.halved[i, np.argmax((high[i] - low[i]) / 2.0 ** self.halved[i])] += 1
+
+    def parts(self, points: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """The number of each point's part within its cell."""
+        at = np.searchsorted(self.cells, cells)
+        many = 2 ** self.halved[at]
+        side = self.high[at] - self.low[at]
+        place = np.floor((points - self.low[at]) / np.where(side > 0, side, 1) * many).astype(np.int64)
+        place = np.clip(place, 0, many - 1)
+        out = np.zeros(len(points), np.int64)
+        for d in range(points.shape[1]):
+            out = out * many[:, d] + place[:, d]
+        return out
+
+    def met(self, point: np.ndarray, ball: float) -> Iterator[tuple[int, np.ndarray]]:
+        """(cell, parts) whose boxes lie within `ball` (a squared distance) of the point."""
+        gap = np.maximum(0, np.maximum(self.low - point, point - self.high)) ** 2
+        for i in np.flatnonzero(gap.sum(1) <= ball).tolist():
+            part, away = np.zeros(1, np.int64), np.full(1, gap[i][self.halved[i] == 0].sum())
+            for d in np.flatnonzero(self.halved[i]).tolist():
+                many = 1 << int(self.halved[i, d])
+                edges = np.linspace(self.low[i, d], self.high[i, d], many + 1)
+                beside = np.maximum(0, np.maximum(edges[:-1] - point[d], point[d] - edges[1:])) ** 2
+                part, away = (part[:, None] * many + np.arange(many)).ravel(), (away[:, None] + beside).ravel()
+                part, away = part[away <= ball], away[away <= ball]
+            yield int(self.cells[i]), part
+
+
+def _ball(bound: float, limit: float) -> float:
+    return bound * limit * (1 + 1e-9) + 1e-12
 
 
 def _vectors(column: pa.ListArray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,125 +163,168 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True))
 
 
+def _points(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.asarray(flat.flatten(), np.float64).reshape(-1, DIMENSIONS)
+
+
+def _lists(points: np.ndarray) -> pa.Array:
+    return pa.array(list(points), pa.list_(pa.float64()))
+
+
 def _projected(length: int, cells: Cells | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         into = directions(length)
         for batch in batches:
             rows, vectors = _vectors(batch.column("embedding"), length)
             unit = _unit(vectors)
-            points = (unit[:, :, None] * into).sum(1) if len(rows) < 64 else np.concatenate([(u[:, :, None] * into).sum(1) for u in np.array_split(unit, len(rows) // 64)])
-            ids = batch.column("vec_id").take(pa.array(rows))
-            arrays = [ids, pa.array(list(points), pa.list_(pa.float64())), pa.array([u.tobytes() for u in unit], pa.binary())]
+            # sums in one order whatever the batch: equal vectors have equal points
+            points = np.concatenate([(u[:, :, None] * into).sum(1) for u in np.array_split(unit, len(rows) // 64 + 1)])
             if cells is None:
-                yield pa.RecordBatch.from_arrays(arrays[:2], names=["vec_id", "point"])
-            else:
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(cells.of(points), pa.int32())], names=["vec_id", "point", "unit", "cell"])
+                yield pa.RecordBatch.from_arrays([_lists(points)], names=["point"])
+                continue
+            kept = [batch.column(c).take(pa.array(rows)) for c in ("vec_id", "is_query")]
+            arrays = [*kept, _lists(points), pa.array([u.tobytes() for u in unit], pa.binary()), pa.array(cells.of(points), pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["vec_id", "is_query", "point", "unit", "cell"])
 
     return run
 
 
+def _parted(boxes):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = boxes.value.parts(_points(batch.column("point")), batch.column("cell").to_numpy())
+            yield batch.append_column("part", pa.array(part, pa.int64()))
+
+    return run
+
+
+_FOUND = pa.schema([("of", pa.string()), ("verified", pa.int64()), ("found", pa.list_(pa.struct([("away", pa.float64()), ("vec_id", pa.int64()), ("row", pa.int64())])))])
+_FOUND_SQL = "of string, verified long, found array<struct<away: double, vec_id: long, row: long>>"
+
+
 def _search(k: int, limit: float):
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    """For each query of a block its k + 1 nearest rows there, as far as its ball reaches."""
 
     def run(key: tuple, queries: pa.Table, rows: pa.Table) -> pa.Table:
         if not queries.num_rows or not rows.num_rows:
-            return schema.empty_table()
-        points = np.array(rows.column("point").to_pylist())
-        unit = np.frombuffer(b"".join(rows.column("unit").to_pylist())).reshape(len(points), -1)
-        ids = rows.column("vec_id").to_numpy()
+            return _FOUND.empty_table()
+        points, unit = _points(rows.column("point")), np.frombuffer(b"".join(rows.column("unit").to_pylist())).reshape(rows.num_rows, -1)
+        members = [[(m["vec_id"], m["row"]) for m in of] for of in rows.column("members").to_pylist()]
         leaves = split_leaves(points, LEAF)
         low, high = np.array([points[x].min(0) for x in leaves]), np.array([points[x].max(0) for x in leaves])
-        out_q, out_v, out_s = [], [], []
-        for q, point, vector, bound in zip(*(queries.column(c).to_pylist() for c in ("query_id", "point", "unit", "bound")), strict=True):
-            point, vector = np.array(point), np.frombuffer(vector)
+        out: dict[str, list] = {c: [] for c in _FOUND.names}
+        for of, point, vector, bound in zip(queries.column("class").to_pylist(), _points(queries.column("point")), queries.column("unit").to_pylist(), queries.column("bound").to_pylist(), strict=True):
+            vector, verified, best = np.frombuffer(vector), 0, []  # best: (-score, id, row), nearest first
             gap = np.maximum(0, np.maximum(low - point, point - high))
-            away = (gap * gap).sum(1)
-            best: list[tuple[float, int]] = []  # (-score, id), nearest first
-            for leaf in np.argsort(away, kind="stable").tolist():
-                if away[leaf] > bound * limit * (1 + 1e-9) + 1e-12:
+            met = np.flatnonzero((gap * gap).sum(1) <= _ball(bound, limit)).tolist()
+            near = np.concatenate([leaves[i] for i in met]) if met else np.zeros(0, np.int64)
+            away = ((points[near] - point) ** 2).sum(1)
+            order = np.argsort(away, kind="stable")
+            while verified < len(order):
+                step = order[verified : verified + STEP]
+                step = step[away[step] <= _ball(bound, limit)]
+                if not len(step):
                     break
-                own = leaves[leaf][ids[leaves[leaf]] != q]
-                scores = (unit[own] * vector).sum(1)
-                if len(best) == k:
-                    keep = scores >= -best[-1][0]
-                    own, scores = own[keep], scores[keep]
-                if len(own):
-                    best = sorted([*best, *zip((-scores).tolist(), ids[own].tolist(), strict=True)])[:k]
-                    if len(best) == k:
-                        bound = min(bound, max(0.0, 2 + 2 * best[-1][0]))
-            out_q += [q] * len(best)
-            out_v += [v for _, v in best]
-            out_s += [-s for s, _ in best]
-        return pa.table([pa.array(out_q, pa.int64()), pa.array(out_v, pa.int64()), pa.array(out_s, pa.float64())], schema=schema)
+                verified += len(step)
+                scores = (unit[near[step]] * vector).sum(1)
+                for i in np.flatnonzero(scores >= -best[k][0] if len(best) > k else np.ones(len(step), bool)).tolist():
+                    best += [(-float(scores[i]), *m) for m in members[near[step[i]]]]
+                best = sorted(best)[: k + 1]
+                if len(best) > k:
+                    bound = min(bound, max(0.0, 2 + 2 * best[k][0]))
+            out["of"].append(of)
+            out["verified"].append(verified)
+            out["found"].append([{"away": a, "vec_id": v, "row": r} for a, v, r in best])
+        return pa.Table.from_pydict(out, schema=_FOUND)
 
     return run
 
 
-def _others(boxes: dict[int, tuple[np.ndarray, np.ndarray, int]], limit: float):
-    """For each query, the blocks of the cells, besides its own, that its projected ball meets."""
+def _sent(boxes, limit: float):
+    """Each query once for every part of a cell that its ball meets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.array(list(boxes))
-        low, high = np.array([b[0] for b in boxes.values()]), np.array([b[1] for b in boxes.values()])
         for batch in batches:
-            out = {"cell": [], "of": []}
-            for i, (point, home, bound) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("point", "cell", "bound")), strict=True)):
-                gap = np.maximum(0, np.maximum(low - np.array(point), np.array(point) - high))
-                met = cells[((gap * gap).sum(1) <= bound * limit * (1 + 1e-9) + 1e-12) & (cells != home)].tolist()
-                out["cell"] += met
-                out["of"] += [i] * len(met)
-            at = pa.array(out["of"], pa.int64())
-            kept = [batch.column(c).take(at) for c in ("query_id", "point", "unit", "bound")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(out["cell"], pa.int32())], names=["query_id", "point", "unit", "bound", "cell"])
+            of, cells, parts = [], [], []
+            for i, (point, bound) in enumerate(zip(_points(batch.column("point")), batch.column("bound").to_pylist(), strict=True)):
+                for cell, part in boxes.value.met(point, _ball(bound, limit)):
+                    of += [i] * len(part)
+                    cells += [cell] * len(part)
+                    parts += part.tolist()
+                if len(of) >= 4096:
+                    yield rows(batch, of, cells, parts)
+                    of, cells, parts = [], [], []
+            yield rows(batch, of, cells, parts)
+
+    def rows(batch, of, cells, parts):
+        kept = batch.select(["class", "point", "unit", "bound"]).take(pa.array(of, pa.int64()))
+        return kept.append_column("cell", pa.array(cells, pa.int32())).append_column("part", pa.array(parts, pa.int64()))
 
     return run
 
 
+class Search:
+    """The index over one table and the search for its queries.
+
+    `result` is query_id, rank, vec_id and score; `found` has one row for each query and block that it
+    was sent to, with the number of points that were verified there."""
+
+    def __init__(self, vectors: DataFrame, is_query: F.Column, k: int = K, confidence: float = CONFIDENCE):
+        spark = vectors.sparkSession
+        bounded_batches(spark)
+        self.result, self.found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double"), None
+        rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"), F.coalesce(is_query, F.lit(False)).alias("is_query")).filter("vec_id is not null")
+        lengths = rows.groupBy(F.size("embedding").alias("n")).count().filter("n > 0").orderBy(F.desc("count"), "n").first()
+        if lengths is None:
+            return
+        length, n, limit = lengths["n"], lengths["count"], quantile(confidence)
+        drawn = F.shiftrightunsigned(F.xxhash64("embedding"), 32) <= int(min(1.0, SAMPLE / n) * ((1 << 32) - 1))
+        sampled = rows.select("embedding").filter(drawn).distinct()
+        sample = _points(sampled.mapInArrow(_projected(length, None), "point array<double>").toArrow().column("point"))
+        depth = int(np.ceil(np.log2(max(1, min(n / BLOCK, len(sample) / LEAST)))))
+        kind = "vec_id long, is_query boolean, point array<double>, unit binary, cell int"
+        placed = rows.mapInArrow(_projected(length, Cells(sample, depth)), kind)
+        placed = saved(placed.withColumns({"class": F.md5("unit"), "row": F.monotonically_increasing_id()}), "neighbours-rows")
+        least = Window.partitionBy("class").orderBy("vec_id", "row")
+        first = placed.select("class", "vec_id", "row").withColumn("n", F.row_number().over(least)).filter(F.col("n") <= k + 1)
+        first = first.groupBy("class").agg(F.collect_list(F.struct("vec_id", "row")).alias("members"))
+        index = placed.groupBy("class").agg(*(F.first(c).alias(c) for c in ("point", "unit", "cell")), F.max("is_query").alias("asked")).join(first, "class")
+        index = saved(index, "neighbours-classes")
+        extent = index.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *(f(F.get("point", F.lit(i))).alias(f"{f.__name__}{i}") for f in (F.min, F.max) for i in range(DIMENSIONS)))
+        extent = extent.toPandas().sort_values("cell")
+        if not len(extent):
+            return
+        edge = lambda name: extent[[f"{name}{i}" for i in range(DIMENSIONS)]].to_numpy(float)
+        boxes = spark.sparkContext.broadcast(Boxes(extent["cell"].to_numpy(), extent["n"].to_numpy(), edge("min"), edge("max")))
+        blocks = spark.createDataFrame(list(zip(extent["cell"].tolist(), (-(-extent["n"] // BLOCK)).tolist(), strict=True)), "cell int, blocks long")
+        search = _search(k, limit)
+
+        def met(asked: DataFrame, index: DataFrame, *keys: str) -> DataFrame:
+            return asked.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(search, _FOUND_SQL)
+
+        # the first bound: the k-th distance in one block of the own cell
+        blocked = lambda: index.join(F.broadcast(blocks), "cell").withColumn("block", F.pmod(F.xxhash64("class"), "blocks"))
+        asked = blocked().filter("asked").select(*(F.col(c).alias(c) for c in ("cell", "block", "class", "point", "unit")), F.lit(float("inf")).alias("bound"))
+        kth = F.when(F.size("found") > k, F.greatest(F.lit(0.0), 2 + 2 * F.element_at("found", -1)["away"])).otherwise(F.lit(float("inf")))
+        bounds = met(asked, blocked().drop("asked", "blocks"), "cell", "block").select(F.col("of").alias("class"), kth.alias("bound"))
+        queries = index.filter("asked").select("class", "point", "unit").join(bounds, "class")
+        sent = saved(queries, "neighbours-queries").mapInArrow(_sent(boxes, limit), "class string, point array<double>, unit binary, bound double, cell int, part long")
+        parted = index.select("class", "point", "unit", "members", "cell").mapInArrow(_parted(boxes), "class string, point array<double>, unit binary, members array<struct<vec_id: long, row: long>>, cell int, part long")
+        self.found = met(sent, parted, "cell", "part")
+        nearest = Window.partitionBy("of").orderBy("away", "vec_id", "row")
+        tops = self.found.select("of", F.inline("found")).withColumn("n", F.row_number().over(nearest)).filter(F.col("n") <= k + 1)
+        tops = tops.groupBy("of").agg(F.array_sort(F.collect_list(F.struct("away", "vec_id", "row"))).alias("tops"))
+        asked_rows = placed.filter("is_query").select("class", "row", F.col("vec_id").alias("query_id"))
+        others = F.slice(F.filter("tops", lambda x: x["row"] != F.col("row")), 1, k)
+        each = asked_rows.join(tops, F.col("class") == F.col("of")).select("query_id", F.posexplode(others).alias("at", "x"))
+        self.result = each.select("query_id", (F.col("at") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.away")).alias("score"))
+
+
 def nearest(vectors: DataFrame, is_query: F.Column, k: int = K, confidence: float = CONFIDENCE) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest found for each row of `vectors` (vec_id, embedding)
     for which `is_query` holds, among all other rows."""
-    spark = vectors.sparkSession
-    bounded_batches(spark)
-    rows = vectors.filter("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.coalesce(is_query, F.lit(False)).alias("is_query"))
-    lengths = rows.groupBy(F.size("embedding").alias("n")).count().filter("n > 0").orderBy(F.desc("count"), "n").first()
-    shape = "query_id long, rank int, vec_id long, score double"
-    if lengths is None:
-        return spark.createDataFrame([], shape)
-    length, n = lengths["n"], lengths["count"]
-    limit = quantile(confidence)
-    share = min(1.0, SAMPLE / n)
-    sampled = rows.filter(F.shiftrightunsigned(F.xxhash64("vec_id", F.lit(1)), 32) <= int(share * ((1 << 32) - 1)))
-    sample = sampled.select("vec_id", "embedding").mapInArrow(_projected(length, None), "vec_id long, point array<double>").toArrow()
-    depth = int(np.clip(np.ceil(np.log2(max(1, n / BLOCK))), 0, np.log2(CELLS)))
-    cells = Cells(np.array(sample.column("point").to_pylist()).reshape(-1, DIMENSIONS), depth)
-    placed = rows.select("vec_id", "embedding").mapInArrow(_projected(length, cells), "vec_id long, point array<double>, unit binary, cell int")
-    placed = saved(placed, "neighbours")
-    extent = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *(f(F.get("point", F.lit(i))).alias(f"{f.__name__}{i}") for i in range(DIMENSIONS) for f in (F.min, F.max)))
-    boxes = {r["cell"]: (np.array([r[f"min{i}"] for i in range(DIMENSIONS)]), np.array([r[f"max{i}"] for i in range(DIMENSIONS)]), -(-r["n"] // BLOCK)) for r in extent.collect()}
-    if not boxes:
-        return spark.createDataFrame([], shape)
-    blocks = F.element_at(F.create_map(*(F.lit(x) for c, b in boxes.items() for x in (c, b[2]))), F.col("cell"))
-    parted = placed.withColumn("part", F.pmod(F.xxhash64("vec_id"), blocks).cast("int"))
-    wanted = rows.filter("is_query").select(F.col("vec_id").alias("query_id")).distinct()
-    queries = placed.withColumnRenamed("vec_id", "query_id").join(wanted, "query_id", "left_semi")
-    queries = saved(queries.withColumn("bound", F.lit(float("inf"))), "neighbours-queries")
-    search = _search(k, limit)
-
-    def met(asked: DataFrame) -> DataFrame:
-        asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), blocks - 1))).select("cell", "part", "query_id", "point", "unit", "bound")
-        found = asked.groupBy("cell", "part").cogroup(parted.groupBy("cell", "part")).applyInArrow(search, "query_id long, vec_id long, score double")
-        return best(found)
-
-    def best(found: DataFrame) -> DataFrame:
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-
-    own = saved(met(queries), "neighbours-own").drop("rank")
-    bounds = own.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("score"))
-    bound = F.when(F.col("n") == k, F.greatest(F.lit(0.0), 2 - 2 * F.col("score"))).otherwise(F.lit(float("inf")))
-    second = queries.drop("bound").join(bounds, "query_id", "left").withColumn("bound", F.coalesce(bound, F.lit(float("inf"))))
-    second = second.select("query_id", "point", "unit", "bound", "cell").mapInArrow(_others(boxes, limit), "query_id long, point array<double>, unit binary, bound double, cell int")
-    return best(own.unionByName(met(second).drop("rank")).distinct()).select("query_id", "rank", "vec_id", "score")
+    return Search(vectors, is_query, k, confidence).result
 
 
 def op8_neighbours(spark, sf_dir: str) -> DataFrame:

@@ -319,35 +319,69 @@ def test_toxicity(spark):
 # --- op8 -------------------------------------------------------------------------------------------
 
 
-def test_neighbours(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "BLOCK", 200)
+def brute_nearest(ids, v, k=5):
+    """(query_id, row) -> the true scores, nearest first, over every row but the query's own."""
+    x = np.asarray(v, np.float64)
+    x = x / np.sqrt((x * x).sum(1, keepdims=True))
+    out = {}
+    for q in [i for i, d in enumerate(ids) if d % 50 == 0]:
+        scores = (x * x[q]).sum(1)
+        order = sorted((i for i in range(len(ids)) if i != q), key=lambda i: (-round(scores[i], 12), ids[i]))[:k]
+        out.setdefault(ids[q], []).append([(ids[i], scores[i]) for i in order])
+    return out
+
+
+@pytest.mark.parametrize("block, sample", [(4096, 1 << 17), (200, 1 << 17), (40, 64)])
+def test_neighbours(spark, monkeypatch, block, sample):
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    monkeypatch.setattr(neighbours, "SAMPLE", sample)
     rng = np.random.default_rng(2)
-    centres = rng.standard_normal((12, 24))
-    v = (centres[rng.integers(0, 12, 1500)] + 0.4 * rng.standard_normal((1500, 24))).astype(np.float32)
+    centres = rng.standard_normal((12, 48))
+    v = (centres[rng.integers(0, 12, 1500)] + 0.4 * rng.standard_normal((1500, 48))).astype(np.float32)
     v[300:700] = v[300]
     rows = [(i, x.tolist()) for i, x in enumerate(v)]
-    bad = [(2000, None), (2050, [0.0] * 24), (2100, [float("nan")] + [1.0] * 23), (2150, [1.0, None] + [1.0] * 22), (2200, [1.0] * 3), (None, [1.0] * 24)]
-    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>").repartition(4)
-    df = clash(df)
+    bad = [(2000, None), (2050, [0.0] * 48), (2100, [float("nan")] + [1.0] * 47), (2150, [1.0, None] + [1.0] * 46), (2200, [1.0] * 3), (None, [1.0] * 48)]
+    df = clash(spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>").repartition(4))
+    search = neighbours.Search(df, F.col("vec_id") % 50 == 0)
     got = {}
-    for r in neighbours.nearest(df, F.col("vec_id") % 50 == 0).collect():
+    for r in search.result.collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
-    x = v.astype(np.float64)
-    x /= np.sqrt((x * x).sum(1, keepdims=True))
-    hits = total = 0
+    want, hits = brute_nearest(range(1500), v), 0
     assert set(got) == set(range(0, 1500, 50))
     for q, found in got.items():
         found.sort()
-        scores = (x * x[q]).sum(1)
-        order = [i for i in np.lexsort((np.arange(1500), -scores.round(12))) if i != q][:5]
-        assert [r for r, _, _ in found] == [1, 2, 3, 4, 5] and all(abs(s - scores[i]) < 1e-9 for _, i, s in found)
-        hits += len(set(order) & {i for _, i, _ in found})
-        total += 5
-    assert hits / total >= 0.9
-    assert [i for _, i, _ in got[300]] == [301, 302, 303, 304, 305]
+        (truth,) = want[q]
+        assert [r for r, _, _ in found] == [1, 2, 3, 4, 5] and all(s <= t + 1e-9 for (_, _, s), (_, t) in zip(found, truth, strict=True))
+        assert [(s, i) for _, i, s in found] == sorted(((s, i) for _, i, s in found), key=lambda x: (-round(x[0], 12), x[1]))
+        hits += len({i for i, _ in truth} & {i for _, i, _ in found})
+    told = search.found.agg(F.sum("verified"), F.count_distinct("of")).first()
+    share, recall = told[0] / (told[1] * len(np.unique(v, axis=0))), hits / 150
+    print(f"recall {recall:.3f}, verified {share:.3f} of all points")
+    assert recall >= 0.9 and share < 0.35
+    assert [i for _, i, _ in got[300]] == [301, 302, 303, 304, 305] and [i for _, i, _ in got[650]] == [300, 301, 302, 303, 304]
+
+
+def test_neighbours_with_repeated_ids_and_few_rows(spark):
+    rng = np.random.default_rng(3)
+    v = rng.standard_normal((40, 8)).astype(np.float32)
+    ids = [50, 50, 50, *range(100, 137)]
+    v[1], v[2] = -v[0], v[0]  # two rows of the query's id, one of them equal to it
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in zip(ids, v, strict=True)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in neighbours.nearest(df.repartition(3), F.col("vec_id") % 50 == 0, confidence=0.9999).collect():
+        got.setdefault((r["query_id"], r["rank"]), []).append((r["vec_id"], round(r["score"], 9)))
+    want = {}
+    for q, of in brute_nearest(ids, v).items():
+        for found in of:
+            for rank, (i, s) in enumerate(found, 1):
+                want.setdefault((q, rank), []).append((i, round(s, 9)))
+    assert {k: sorted(x) for k, x in got.items()} == {k: sorted(x) for k, x in want.items()}
     few = spark.createDataFrame([(0, [1.0, 0.0]), (50, [0.0, 1.0]), (3, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert collected(neighbours.nearest(few, F.col("vec_id") % 50 == 0).select("query_id", "rank", "vec_id")) == [(0, 1, 3), (0, 2, 50), (50, 1, 3), (50, 2, 0)]
     assert neighbours.nearest(few.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+    assert neighbours.nearest(few.filter("vec_id = 0"), F.col("vec_id") % 50 == 0).count() == 0
+    none = spark.createDataFrame([(0, [0.0, 0.0]), (50, None)], "vec_id long, embedding array<float>")
+    assert neighbours.nearest(none, F.col("vec_id") % 50 == 0).count() == 0
 
 
 def test_chi_square_quantile():
