@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding
+from . import license_scan, sharding
 from .decontaminate import op6_decontamination
 from .license_scan import op10_license_scan
 from .mixing import op9_mixing
@@ -36,7 +37,52 @@ _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D
 _LOWER_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _ALNUM = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
+
+def _templates() -> str:
+    """The license scan's phrases and texts, words only, as rows of VALUES."""
+    plain = lambda t: " ".join(re.findall(r"[0-9a-z]+", t.lower()))
+    rows = [(label, True, license_scan.BASE_GRAM, t) for label, t in license_scan.BASE] + [(label, False, license_scan.GRAM, plain(t)) for label, t in license_scan.TEXTS]
+    return ", ".join(f"({n}, '{label}', {base}, {k}, '{t}')" for n, (label, base, k, t) in enumerate(rows))
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op10_license_scan": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM} AS w FROM documents),
+t AS (SELECT *, string_split(x, ' ') AS w FROM (VALUES {_templates()}) AS v(template, label, base, k, x)),
+places AS (
+  SELECT template, label, base, k, grams, q, array_to_string(w[q + 1 : q + k], ' ') AS g
+  FROM (SELECT *, len(w) - k + 1 AS grams, unnest(range(0, len(w) - k + 1)) AS q FROM t)
+),
+grams AS (
+  SELECT r, k, p, array_to_string(w[p + 1 : p + k], ' ') AS g
+  FROM (SELECT r, w, k, unnest(range(0, len(w) - k + 1)) AS p FROM d, (VALUES (2), (4)) AS ks(k) WHERE len(w) >= k)
+),
+votes AS (SELECT r, template, label, base, places.grams AS n, p, q, p - q AS diagonal FROM grams JOIN places USING (k, g)),
+base AS (SELECT r, label, diagonal FROM votes WHERE base GROUP BY r, template, label, n, diagonal HAVING count(*) = n),
+merged AS (
+  SELECT a.r, a.template, a.label, a.n, a.diagonal, v.q, min(v.p) AS p
+  FROM (SELECT DISTINCT r, template, label, n, diagonal FROM votes WHERE NOT base) a
+  JOIN votes v ON v.r = a.r AND v.template = a.template AND v.diagonal BETWEEN a.diagonal AND a.diagonal + {license_scan.DRIFT}
+  GROUP BY ALL
+),
+ordered AS (
+  SELECT *, p > coalesce(max(p) OVER (PARTITION BY r, template, diagonal ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS fits FROM merged
+),
+spans AS (SELECT r, label, count(*) FILTER (WHERE fits) / n AS share FROM ordered GROUP BY r, template, label, n, diagonal),
+told AS (
+  SELECT r, label, diagonal, 1.0::DOUBLE AS share, true AS base FROM base
+  UNION ALL SELECT r, label, NULL, share, false FROM spans
+),
+texts AS (
+  SELECT r, count(*) FILTER (WHERE base) AS n_base, min(diagonal) AS first_word, max(diagonal) AS last_word, max(share) AS score,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base OR share >= {license_scan.COVERED}) AS labels
+  FROM told GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN texts USING (r)
+""",
     "op1_substring_dedup": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
 windows AS (

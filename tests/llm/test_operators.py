@@ -260,10 +260,49 @@ def test_mixing(spark):
 # --- op10 ------------------------------------------------------------------------------------------
 
 
+def brute_license(text):
+    """labels and score: for each diagonal, the template's places at the first of the next diagonals, in order."""
+    w, labels, score = alnum(text), set(), 0.0
+    for label, phrase in license_scan.BASE:
+        b = phrase.split()
+        if any(w[p : p + len(b)] == b for p in range(len(w))):
+            labels, score = labels | {label}, 1.0
+    for label, t in license_scan.TEXTS:
+        b, k = alnum(t), license_scan.GRAM
+        votes = [(p - q, q) for q in range(len(b) - k + 1) for p in range(len(w) - k + 1) if w[p] == b[q] and w[p : p + k] == b[q : q + k]]
+        for anchor, _ in votes:
+            first = {}
+            for d, q in sorted(votes, reverse=True):
+                if anchor <= d <= anchor + license_scan.DRIFT:
+                    first[q] = q + d
+            n, end = 0, -1
+            for q in sorted(first):
+                n, end = n + (first[q] > end), max(end, first[q])
+            share = n / (len(b) - k + 1)
+            score = max(score, share)
+            if share >= license_scan.COVERED:
+                labels.add(label)
+    return ",".join(sorted(labels)), score
+
+
 def test_license_scan(spark):
-    mit = dict((label, t) for label, t in license_scan.SENTENCES if label == "mit")["mit"]
-    cut = mit.split(" ")
-    texts = ["MIT License. mit-license!", "the Apache  LICENSE and GNU General Public License", "general public mit license mit", "Permission: " + mit.upper(), " ".join(cut[:9] + ["really"] + cut[9:]), " ".join(cut[:6]), "É mit licensee"]
+    rng = random.Random(6)
+    mit, isc, bsd = (max((t for label, t in license_scan.TEXTS if label == x), key=len) for x in ("mit", "isc", "bsd"))
+    notice = min((t for label, t in license_scan.TEXTS if label == "mit"), key=len)
+    cut = notice.split(" ")
+    swapped = bsd.split(" ")
+    for i in range(0, len(swapped) - 12, 12):
+        swapped[i : i + 12] = rng.sample(swapped[i : i + 12], 12)
+    halves = mit.split(" ")
+    halves = halves[len(halves) // 2 :] + halves[: len(halves) // 2]
+    texts = ["MIT License. mit-license!", "the Apache  LICENSE and GNU General Public License", "general public mit license mit", "Permission: " + notice.upper(), " ".join(cut[:9] + ["really"] + cut[9:]), " ".join(cut[:6]), "É mit licensee"]
+    texts += ["permission to use " * 8, "free software " * 16, "the terms of " * 12, "this software " * 12, mit + " " + isc, "x " * 50 + mit.replace("copies of", "copies (all of them) of"), " ".join(swapped), "MİT LICENSE mit licenſe", " ".join(halves), mit * 3]
+    for t in (mit, isc, bsd):
+        w = t.split(" ")
+        for _ in range(3):
+            copy = [x for x in w if rng.random() > 0.1]
+            copy[rng.randrange(len(copy)) : 0] = ["put", "in"] * rng.randrange(8)
+            texts.append(" ".join(copy))
     rows = base_rows([(20 + i, t) for i, t in enumerate(texts)] + [(21, texts[1])])
     got = {}
     for r in license_scan.scan(clash(frame(spark, rows))).collect():
@@ -276,8 +315,13 @@ def test_license_scan(spark):
         starts = [p for p, _ in places]
         assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == (len(w), len(places), min(starts, default=None), max(starts, default=None)), t
         assert r["base_labels"] == ",".join(sorted({x for _, x in places})) and set(r["base_labels"].split(",")) - {""} <= set(r["labels"].split(","))
-        assert 0 <= r["score"] <= 1
-    assert got[23][0]["labels"] == "mit" and got[23][0]["score"] == 1 and got[24][0]["labels"] == "mit" and got[25][0]["labels"] == ""
+        assert (r["labels"], r["score"]) == brute_license(t), t
+        assert {s["label"] for s in r["spans"]} == set(r["labels"].split(",")) - {""} and all(0 <= s["start"] < s["end"] <= len(w) for s in r["spans"])
+    label = lambda i: got[20 + i][0]["labels"]
+    assert label(3) == "mit" and got[23][0]["score"] == 1 and label(4) == "mit" and label(5) == ""
+    # repeated phrases of a license and the words of one in another order are no license
+    assert [label(i) for i in (7, 8, 9, 10, 13)] == [""] * 5 and label(11) == "isc,mit" and label(12) == "mit"
+    assert min(s["start"] for s in got[32][0]["spans"]) == 50
     assert license_scan.scan(frame(spark, [])).count() == 0
 
 
