@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 def folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, as spark.checkpoint.dir names it.
 
-    Only where the session names none (tests, a single machine) a temporary folder is set.
+    Only where the session names none and has one machine (master local[...]) a temporary folder is set;
+    a cluster without a shared folder is an error, as its executors could not read each other's files.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="spark-checkpoint-")
         context.setCheckpointDir(named)
     elif not context.getCheckpointDir():
@@ -33,6 +36,29 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(*frames: DataFrame) -> None:
+    """Removes the files of frames that `saved` has written and that nothing reads any more."""
+    for df in frames:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            target = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, or where `df` has such a column, a name that it lacks."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name = f"_{name}"
+    return name
+
+
+def hot_keys(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """The keys of `counts` (a row for each key, with its rows in `n`) that hold more than a thousandth of
+    all rows: fewer than a thousand, whatever the input's size, so they may be broadcast."""
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    return counts.filter(F.col(n) > total / 1000).select(key)
+
+
 #: Texts come to Python tasks in batches of at most so many rows and bytes; a longer text is a batch of its own.
 BATCH_ROWS = 1000
 BATCH_BYTES = 4 << 20

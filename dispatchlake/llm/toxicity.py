@@ -3,17 +3,20 @@
 Features of a text: its distinct words, word pairs, and pairs with one word between, lower-cased
 (A-Z), each hashed to one of 2**BITS coordinates. Every coordinate has its own learning rate and an
 L1 penalty keeps weights at zero until a coordinate has earned one, so the weights that are broadcast
-are few: at most MOST_WEIGHTS.
-
-Training takes at most about `sample` labelled rows, chosen by a hash of the id: a documented bound
-that does not grow with the corpus. Their features are made where the rows lie; the gradient steps,
-which follow one another, run over the sample in one task (averaging the states of several shards
-instead lost a fifth of the toxic rows that are found). Scoring runs over every whole text of the table.
-
-Rows whose crc32(id as text) mod FOLDS is 0 are held out of training. Null and empty texts have the
-intercept's score. Rows with a null label, and labels without a row, teach nothing; an id with several
-labels counts as 1 if any is. Without usable labels every score is 0.5 or below and nothing is
-predicted. Labels, lang, source and doc_id are never features.
+are few; all of them are kept, at most 2**BITS (16 MB).
+
+Training takes at most `sample` labelled rows, chosen by hashes: a documented bound that does not grow
+with the corpus. The bound is on rows, not ids: of an id that many rows hold, and of all rows together,
+only so many are drawn, and rows equal in id and text teach once. Their features are made where the
+rows lie; the gradient steps, which follow one another, run over the sample in one task (averaging the
+states of several shards instead lost a fifth of the toxic rows that are found). Scoring runs over every
+whole text of the table.
+
+Rows whose crc32(id as text) mod FOLDS is 0 are held out of training; a null id counts as the empty text,
+so rows without an id are held out. Null and empty texts have the intercept's score. Rows with a null
+label, and labels without a row, teach nothing; an id with several labels counts as 1 if any is. Without
+usable labels every score is 0.5 or below and nothing is predicted. An empty table stays empty. Repeated
+rows have equal scores. Labels, lang, source and doc_id are never features; other columns are kept.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import words
-from .shared import bounded_batches
+from .shared import bounded_batches, fresh
 
 BITS = 22
 FOLDS = 5
@@ -36,7 +39,6 @@ EPOCHS = 4
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 10.0, 0.1
 #: What an error on a toxic row counts, an error on another being 1: toxic rows are few.
 TOXIC_COST = 2.0
-MOST_WEIGHTS = 1 << 20
 _SKIP = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -97,8 +99,6 @@ def _fitted(key: tuple, table: pa.Table) -> pa.Table:
             z0, n0 = z0 + g - ((n0 + g * g) ** 0.5 - n0**0.5) / ALPHA * b, n0 + g * g
     w = _weights(z, n)
     at = np.flatnonzero(w)
-    if len(at) > MOST_WEIGHTS:
-        at = np.sort(at[np.argsort(-np.abs(w[at]), kind="stable")[:MOST_WEIGHTS]])
     bias = -z0 / ((BETA + n0**0.5) / ALPHA + L2)
     return pa.table({"coordinate": pa.array([-1, *at.tolist()], pa.int32()), "weight": pa.array([bias, *w[at].tolist()], pa.float64())})
 
@@ -107,21 +107,31 @@ def held_out(doc_id) -> F.Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
-    """(coordinates, weights, intercept) learnt from the labelled rows that are not held out."""
-    bounded_batches(docs.sparkSession)
+def drawn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """key, toxic and features of the rows that teach, `sample` at most."""
     usable = labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    below = lambda key, share: F.shiftrightunsigned(key, 32) < int(share * (1 << 32))
     share = min(1.0, sample / max(1, usable.count()))
-    key = F.xxhash64("doc_id")
-    chosen = lambda df: df.filter(F.shiftrightunsigned(key, 32) < int(share * (1 << 32)))
-    rows = chosen(docs.select("doc_id", F.col("text").cast("string").alias("text"))).join(chosen(usable), "doc_id")
-    rows = rows.select(key.alias("key"), F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(_featured, "key long, toxic int, features binary")
+    some = lambda df: df.filter(below(F.xxhash64("doc_id"), share))
+    rows, key = some(docs.select("doc_id", F.col("text").cast("string").alias("text"))), F.xxhash64("doc_id", "text")
+    # an id may stand for any number of rows: those that differ are counted and drawn too
+    differ = rows.join(F.broadcast(some(usable)), "doc_id", "left_semi").agg(F.approx_count_distinct(key)).first()[0]
+    rows = rows.filter(below(F.xxhash64(key), min(1.0, sample / max(1, differ))))
+    rows = rows.join(some(usable), "doc_id").select(key.alias("key"), F.col("toxic").cast("int").alias("toxic"), "text")
+    found = rows.mapInArrow(_featured, "key long, toxic int, features binary")
+    once = found.groupBy("key").agg(F.max("toxic").alias("toxic"), F.first("features").alias("features"))
+    return once.orderBy("key").limit(sample)
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
+    """(coordinates, weights, intercept) learnt from the labelled rows that are not held out."""
+    bounded_batches(docs.sparkSession)
     # the sample is bounded, so one task may hold it
-    found = rows.groupBy(F.lit(0).alias("all")).applyInArrow(_fitted, "coordinate int, weight double").collect()
-    weights = {r["coordinate"]: r["weight"] for r in found}
-    bias = weights.pop(-1, -1.0)
-    return np.array(list(weights), np.uint32), np.array(list(weights.values()), np.float32), float(bias)
+    found = drawn(docs, labels, sample).groupBy(F.lit(0).alias("all")).applyInArrow(_fitted, "coordinate int, weight double").toArrow()
+    at, weight = found.column("coordinate").to_numpy(), found.column("weight").to_numpy()
+    bias = weight[at < 0]
+    return at[at >= 0].astype(np.uint32), weight[at >= 0].astype(np.float32), float(bias[0]) if len(bias) else -1.0
 
 
 def _scorer(model, schema: pa.Schema):
@@ -147,7 +157,7 @@ def _scorer(model, schema: pa.Schema):
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], column: str = "score") -> DataFrame:
-    """`docs` with the score of each row's text in `column`."""
+    """`docs` with the score of each row's text in `column` (a column of this name is replaced)."""
     from pyspark.sql import types as T
 
     docs = docs.drop(column)
@@ -158,12 +168,14 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], column:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` whose text is not predicted to be toxic, with their own columns."""
-    scored = score(docs, train(docs, labels), "_toxicity")
-    return scored.filter(F.col("_toxicity") < 0.5).drop("_toxicity")
+    """The rows of `docs` whose text is not predicted to be toxic, with their own columns, whatever their names."""
+    column = fresh(docs, "toxicity")
+    scored = score(docs, train(docs, labels), column)
+    return scored.filter(F.col(column) < 0.5).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row of documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     scored = score(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

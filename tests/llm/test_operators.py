@@ -360,6 +360,74 @@ def test_toxicity(spark):
     assert toxicity.score(frame(spark, []), model).count() == 0
 
 
+def brute_ftrl(rows):
+    """FTRL-proximal one coordinate after the other, in the operator's order of rows."""
+    t = toxicity
+    z, n = {}, {}
+
+    def weight(c):
+        if c == -1:  # the intercept has no L1 penalty
+            return -z.get(c, 0.0) / ((t.BETA + n.get(c, 0.0) ** 0.5) / t.ALPHA + t.L2)
+        if abs(z.get(c, 0.0)) <= t.L1:
+            return 0.0
+        return -(z[c] - np.sign(z[c]) * t.L1) / ((t.BETA + n[c] ** 0.5) / t.ALPHA + t.L2)
+
+    for epoch in range(t.EPOCHS):
+        for i in np.random.default_rng(epoch).permutation(len(rows)).tolist():
+            _, label, coordinates = rows[i]
+            each = [-1, *coordinates]
+            w = {c: weight(c) for c in each}
+            p = 1 / (1 + np.exp(-sum(w.values())))
+            g = (p - label) * (t.TOXIC_COST if label else 1)
+            for c in each:
+                sigma = ((n.get(c, 0.0) + g * g) ** 0.5 - n.get(c, 0.0) ** 0.5) / t.ALPHA
+                z[c] = z.get(c, 0.0) + g - sigma * w[c]
+                n[c] = n.get(c, 0.0) + g * g
+    return {c: weight(c) for c in z}
+
+
+def test_ftrl_steps(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(toxicity, "L1", 1.0)
+    rng = random.Random(9)
+    rows = [(i, int(i % 4 == 0), sorted(rng.sample(range(40), 6) + ([50] if i % 4 == 0 else [51]))) for i in range(60)]
+    table = pa.table({"key": [r[0] for r in rows], "toxic": [r[1] for r in rows], "features": [np.array(r[2], "<u4").tobytes() for r in rows]})
+    got = toxicity._fitted((0,), table)
+    got = dict(zip(got.column("coordinate").to_pylist(), got.column("weight").to_pylist(), strict=True))
+    want = {c: w for c, w in brute_ftrl(rows).items() if w or c == -1}
+    assert set(got) == set(want) and len(want) < 43 and all(abs(got[c] - want[c]) < 1e-4 for c in want)
+
+
+def test_features_are_words_pairs_and_skip_pairs():
+    data = np.frombuffer(b"A b, c! a b c", np.uint8)
+    found = [(c.tolist(), t.tolist()) for c, t in toxicity.features(toxicity._words(data, np.array([0, 7, len(data)])))]
+    assert [[t.count(i) for _, t in found] for i in (0, 1)] == [[3, 2, 1]] * 2
+    assert all(c[: len(c) // 2] == c[len(c) // 2 :] for c, _ in found) and len({x for c, _ in found for x in c}) == 6
+
+
+def test_toxicity_teaches_a_bounded_number_of_rows(spark):
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 5][:3]
+    docs = spark.range(30_000).select(F.element_at(F.array(*map(F.lit, ids)), (F.col("id") % 3 + 1).cast("int")).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    labels = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, toxic int")
+    assert 0 < toxicity.drawn(docs, labels, 10).count() <= 10
+    assert toxicity.drawn(docs.withColumn("text", F.lit("one")), labels, 10).count() == 3
+
+
+def test_drop_toxic(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["idiot", "scum"]) if i % 3 == 0 and rng.random() < 0.4 else f"w{rng.randrange(50)}" for _ in range(30))) for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(600)], "doc_id long, toxic int")
+    docs = clash(frame(spark, [*rows, (None, "w1 w2"), (700, None), (701, ""), rows[1]])).withColumns({"toxicity": F.lit("t"), "_toxicity": F.lit(5)})
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    got = kept.collect()
+    assert {(r["toxicity"], r["_toxicity"], r["score"]) for r in got} == {("t", 5, "s")}
+    ids = [r["doc_id"] for r in got]
+    assert {None, 700, 701} <= set(ids) and ids.count(1) == 2 and sum(i % 3 == 0 for i in ids if i is not None and i < 600) < 20 and len(ids) > 380
+    assert toxicity.drop_toxic(docs.limit(0), labels).count() == 0
+
+
 # --- op8 -------------------------------------------------------------------------------------------
 
 
