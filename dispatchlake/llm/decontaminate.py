@@ -1,15 +1,19 @@
 """Benchmark decontamination: words of training texts that repeat a benchmark item are hit.
 
 Words are lower-cased (A-Z) runs of letters, digits and non-ASCII characters. An item's windows are
-its n consecutive words, or all of them where it has fewer. The distinct windows form a hash set that
-is broadcast; texts are scanned with rolling hashes, and every hash that hits is verified against the
-window's own words. Hit words are those inside any occurrence of a window.
-
-The benchmark is broadcast in parts of at most `block` windows, so a benchmark of any size is used
-whole: each part is one more scan, and their hits are united by text.
-
-Null texts and items have no words and are never hit. Repeated items count once for each item id;
-null ids are left out of the list of items. A text without words is not contaminated.
+its n consecutive words, or all of them where it has fewer. The windows form a hash set that is
+broadcast as arrays: the items' words, one after the other, and the sorted hashes of the windows with
+their first words. Texts are scanned with rolling hashes, and every hash that hits is verified against
+the window's own bytes. Hit words are those inside any occurrence of a window.
+
+The benchmark is broadcast in parts of about `most` bytes of text; the arrays of a part take at most
+eleven times as much (a word of one byte has 8 bytes of hash and 12 of places). A benchmark of any size
+is used whole: each further part is one more scan of the written result of the one before, and one part
+is held at a time.
+
+Null texts and items have no words and are never hit; nor are empty ones. Repeated items count once for
+each item id; null ids are left out of the list of items, though their words are hit. A text without
+words is not contaminated. Repeated rows and ids are judged row by row; columns of any name are kept.
 """
 
 from __future__ import annotations
@@ -25,61 +29,93 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import words
-from .shared import bounded_batches
+from .shared import bounded_batches, forget, fresh, saved
 
 N = 13
 #: A document is contaminated when 1 / CONTAMINATED_PART of its words are hit.
 CONTAMINATED_PART = 20
-#: Benchmark items whose windows are broadcast together: at most so many bytes of text.
-BROADCAST_BYTES = 32 << 20
+#: Benchmark items whose windows are broadcast together: at most about so many bytes of text.
+BROADCAST_BYTES = 16 << 20
 
 
 class Windows:
-    """The windows of some items: by length, sorted hashes, with their words and the items that have them."""
-
-    def __init__(self, items: list[tuple[str | None, str | None]], n: int):
-        found: dict[int, dict[int, dict[tuple, set]]] = {}
-        self.n = n
-        for item, text in items:
-            data = np.frombuffer((text or "").encode(), np.uint8)
-            w = words.split(data, np.array([0, len(data)]), words.ALNUM, lower=True)
-            k = min(n, len(w.starts))
-            if not k:
-                continue
-            for i, h in enumerate(words.ngrams(w.hashes, k).tolist()):
-                found.setdefault(k, {}).setdefault(h, {}).setdefault(tuple(w.word(j) for j in range(i, i + k)), set()).add(item)
-        self.by_length = {k: (np.array(sorted(v), np.uint64), v) for k, v in sorted(found.items())}
-
-    def hits(self, w: words.Words) -> Iterator[tuple[int, int, set]]:
-        """(first word, number of words, items) of each occurrence of a window."""
-        for k, (hashes, exact) in self.by_length.items():
+    """The windows of some items: their words as bytes, and by length the windows' sorted hashes with the
+    item and the first word of each. A window that an item repeats is held once."""
+
+    def __init__(self, items: pa.Table, n: int):
+        ids = items.column("item_id").to_pylist()
+        #: Ids of items, and of those without one None.
+        self.ids = ids
+        pieces, starts, ends, counts, hashes, base = [], [], [], [], [], 0
+        for _, _, data, offsets in words.slices(items.column("text")):
+            w = words.split(data, offsets, words.ALNUM, lower=True)
+            # only word bytes are kept: a window is compared word by word
+            pieces.append(w.data.tobytes())
+            starts.append(w.starts + base)
+            ends.append(w.ends + base)
+            counts.append(w.counts())
+            hashes.append(w.hashes)
+            base += len(w.data)
+        join = lambda arrays, kind: np.concatenate(arrays).astype(kind) if arrays else np.zeros(0, kind)
+        self.data, self.starts, self.ends = b"".join(pieces), join(starts, np.uint32), join(ends, np.uint32)
+        counts, hashes = join(counts, np.int64), join(hashes, np.uint64)
+        of, first = np.repeat(np.arange(len(counts)), counts).astype(np.uint32), np.concatenate([[0], np.cumsum(counts)])
+        lengths = np.minimum(counts, n)[of]
+        left = np.repeat(first[1:], counts) - np.arange(len(of))
+        self.by_length = {}
+        for k in np.unique(lengths).tolist():
+            at = np.flatnonzero((lengths == k) & (left >= k))
+            grams = words.ngrams(hashes, k)[at]
+            order = np.lexsort((of[at], grams))
+            at, grams = at[order], grams[order]
+            new = np.ones(len(at), dtype=bool)
+            new[1:] = (grams[1:] != grams[:-1]) | (of[at][1:] != of[at][:-1])
+            self.by_length[k] = (grams[new], at[new].astype(np.uint32), of[at[new]])
+
+    def size(self) -> int:
+        """Bytes of all arrays."""
+        return len(self.data) + self.starts.nbytes + self.ends.nbytes + sum(a.nbytes for of in self.by_length.values() for a in of)
+
+    def hits(self, w: words.Words) -> Iterator[tuple[int, int, list]]:
+        """(first word, number of words, ids of items) of each occurrence of a window."""
+        for k, (hashes, first, of) in self.by_length.items():
             grams = words.ngrams(w.hashes, k)
-            at = np.minimum(np.searchsorted(hashes, grams), len(hashes) - 1)
-            for i in np.flatnonzero((hashes[at] == grams) & w.valid(k)[: len(grams)]).tolist():
-                items = exact[int(grams[i])].get(tuple(w.word(j) for j in range(i, i + k)))
-                if items is not None:
+            low = np.searchsorted(hashes, grams)
+            hit = (hashes[np.minimum(low, len(hashes) - 1)] == grams) & w.valid(k)[: len(grams)]
+            for i in np.flatnonzero(hit).tolist():
+                a, b = int(low[i]), int(np.searchsorted(hashes, grams[i], side="right"))
+                own = [w.word(j) for j in range(i, i + k)]
+                items = [self.ids[of[j]] for j in range(a, b) if self._words(int(first[j]), k) == own]
+                if items:
                     yield i, k, items
 
+    def _words(self, first: int, k: int) -> list[bytes]:
+        return [self.data[self.starts[j] : self.ends[j]] for j in range(first, first + k)]
 
+
+_FOUND = ("n_words", "spans", "items")
 _HITS = [("n_words", pa.int64()), ("spans", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))]
 
 _FIELDS = [T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(T.IntegerType())), T.StructField("items", T.ArrayType(T.StringType()))]
 
 
-def _scan(broadcast, schema: pa.Schema):
+def _scan(broadcast, schema: pa.Schema, again: bool = False):
+    """again: the batches hold what other parts of the benchmark have found."""
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = broadcast.value
         for batch in batches:
             for first, last, data, offsets in words.slices(batch.column("text")):
                 w = words.split(data, offsets, words.ALNUM, lower=True)
-                spans: list[list[int]] = [[] for _ in range(last - first)]
-                items: list[set] = [set() for _ in range(last - first)]
+                rows = batch.slice(first, last - first)
+                spans: list[list[int]] = rows.column("spans").to_pylist() if again else [[] for _ in range(last - first)]
+                items: list[set] = [set(x) for x in rows.column("items").to_pylist()] if again else [set() for _ in range(last - first)]
                 hits = list(windows.hits(w))
                 texts = np.searchsorted(w.offsets, [i for i, _, _ in hits], side="right") - 1
                 for t, (i, k, found) in zip(texts.tolist(), hits, strict=True):
                     spans[t] += [i - int(w.offsets[t]), i - int(w.offsets[t]) + k]
-                    items[t] |= found
-                kept = [batch.column(c).slice(first, last - first) for c in schema.names if c not in ("n_words", "spans", "items")]
+                    items[t].update(found)
+                kept = [rows.column(c) for c in schema.names if c not in _FOUND]
                 found = [w.counts().tolist(), spans, [sorted(x for x in s if x is not None) for s in items]]
                 yield pa.RecordBatch.from_arrays([*kept, *(pa.array(v, t) for v, (_, t) in zip(found, _HITS, strict=True))], schema=schema)
 
@@ -87,13 +123,14 @@ def _scan(broadcast, schema: pa.Schema):
 
 
 def parts_of(benchmark: DataFrame, most: int = BROADCAST_BYTES) -> list[DataFrame]:
-    """The benchmark in parts that may be broadcast, each of about `most` bytes of text."""
+    """The distinct items in parts that may be broadcast, each of about `most` bytes of text."""
+    benchmark = benchmark.distinct()
     size = benchmark.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n = -(-size // most)
     if n <= 1:
         return [benchmark]
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * n))
-    return [benchmark.filter(part == i) for i in range(2 * n)]
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+    return [benchmark.filter(part == i) for i in range(n)]
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N, item_column: str = "item_id", text_column: str = "text", most: int = BROADCAST_BYTES) -> DataFrame:
@@ -101,21 +138,20 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N, item_column: st
     of every occurrence, one after the other) and items (ids of the items found, sorted)."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    names = [c for c in docs.columns if c not in ("n_words", "spans", "items")]
-    docs = docs.select(*(F.col(f"`{c}`") for c in names))
+    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in _FOUND))
     items = benchmark.select(F.col(item_column).cast("string").alias("item_id"), F.col(text_column).cast("string").alias("text")).filter("text is not null")
     schema = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in docs.schema] + _HITS)
     shape = T.StructType([*docs.schema, *_FIELDS])
-    for i, part in enumerate(parts_of(items, most)):
-        windows = spark.sparkContext.broadcast(Windows([(r[0], r[1]) for r in part.toLocalIterator()], n))
-        found = docs.mapInArrow(_scan(windows, schema), shape)
-        if i == 0:
-            out = found
-        else:  # the next part's scan takes what the ones before have found along
-            before = out.withColumnsRenamed({"spans": "_spans", "items": "_items"}).drop("n_words")
-            schema2 = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in before.schema] + _HITS)
-            out = before.mapInArrow(_scan(windows, schema2), T.StructType([*before.schema, *_FIELDS]))
-            out = out.withColumns({"spans": F.concat("_spans", "spans"), "items": F.array_sort(F.array_distinct(F.concat("_items", "items")))}).drop("_spans", "_items")
+    parts = parts_of(items, most)
+    out = None
+    for i, part in enumerate(parts):
+        windows = spark.sparkContext.broadcast(Windows(part.toArrow(), n))
+        before, out = out, (docs if out is None else out).mapInArrow(_scan(windows, schema, out is not None), shape)
+        if i < len(parts) - 1:  # written, so that the next part's windows take the place of these
+            out = saved(out, "hits")
+            windows.destroy()
+        if before is not None and i < len(parts) - 1:
+            forget(before)
     return out
 
 
@@ -149,16 +185,13 @@ def hit_words() -> F.Column:
     return F.when(F.size("spans") == 0, F.lit(0)).otherwise(F.aggregate(pairs, start, step)["total"])
 
 
-_FOUND = ("n_words", "spans", "items")
-
-
 def _aside(docs: DataFrame) -> DataFrame:
     """`docs` with its own columns of the names that find_hits adds put aside."""
-    return docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c in _FOUND})
+    return docs.withColumnsRenamed({c: fresh(docs, f"own_{c}") for c in docs.columns if c in _FOUND})
 
 
 def _back(docs: DataFrame, found: DataFrame) -> DataFrame:
-    return found.select(*(F.col(f"`_own_{c}`" if c in _FOUND else f"`{c}`").alias(c) for c in docs.columns))
+    return found.select(*(F.col(f"`{fresh(docs, f'own_{c}') if c in _FOUND else c}`").alias(c) for c in docs.columns))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
@@ -194,4 +227,5 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
 
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns for every row of documents, against the whole benchmark."""
     return report(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -211,6 +211,31 @@ def test_decontamination(spark, most):
     assert collected(several) == sorted(((x[0], x[2], x[3]) for x in want), key=str)
 
 
+def test_benchmark_windows_are_bounded_arrays():
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(1000)}" for _ in range(rng.randrange(1, 400))) for _ in range(3000)]
+    texts += ["a " * 50_000, "b"]
+    windows = decontaminate.Windows(pa.table({"item_id": [str(i) for i in range(len(texts))], "text": texts}), 13)
+    size = sum(len(t.encode()) for t in texts)
+    assert windows.size() <= 11 * size and windows.size() < 6 * size
+    w = words.split(np.frombuffer(texts[7].encode(), np.uint8), np.array([0, len(texts[7])]), words.ALNUM, lower=True)
+    found = {x for _, _, items in windows.hits(w) for x in items}
+    assert "7" in found
+
+
+def test_hits_add_up_over_parts_of_the_benchmark(spark):
+    rng = random.Random(10)
+    items = [(i, " ".join(f"w{rng.randrange(30)}" for _ in range(rng.choice((1, 2, 3, 20))))) for i in range(80)]
+    items += [(200, items[0][1]), (None, items[1][1]), items[2]]
+    docs = clash(frame(spark, base_rows([(300 + i, " ".join(f"w{rng.randrange(40)}" for _ in range(60)) + " " + items[i][1]) for i in range(40)])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    digest = lambda most: collected(decontaminate.find_hits(docs, bench, most=most).select("doc_id", "n_words", decontaminate.hit_words().alias("n"), "items"))
+    whole, parts = digest(1 << 24), digest(400)
+    assert len(decontaminate.parts_of(bench, 400)) > 4 and whole == parts and sum(len(r[3]) for r in whole) > 100
+
+
 def test_decontamination_without_items(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert collected(decontaminate.report(frame(spark, [(1, "a b")]), none)) == [(1, 2, 0, 0, hashlib.sha256(b"").hexdigest(), False)]
