@@ -122,11 +122,14 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coa
 FROM d LEFT JOIN hit_words h USING (r) LEFT JOIN hit_items i USING (r)
 """,
     "op9_mixing": rf"""
-WITH d AS (
+WITH keyed AS (
   SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(strlen(text), -1)::VARCHAR), 1, 15))::BIGINT >> 24 AS prefix
+    md5(concat_ws(chr(31), coalesce('+' || doc_id::VARCHAR, '-'), coalesce(md5(text), '-'), coalesce('+' || source, '-'))) AS key
   FROM documents
 ),
+d AS (
+  SELECT doc_id, source, size, ('0x' || substr(md5(key || ':' || row_number() OVER (PARTITION BY key)), 1, 15))::BIGINT >> 24 AS prefix FROM keyed
+),
 s AS (
   SELECT source, source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
   FROM (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source)
