@@ -12,7 +12,7 @@ def blank_to_null(text: Column) -> Column:
 
 def try_int(text: Column) -> Column:
     """Whole numbers of at most nine digits; no blanks, no plus sign, no trailing newline."""
-    return F.when(text.rlike(r"^-?[0-9]{1,9}\z"), F.try_to_number(F.regexp_replace(text, "^-", ""), F.lit("999999999")).cast("int") * F.when(text.startswith("-"), -1).otherwise(1))
+    return F.when(text.rlike(r"^-?[0-9]{1,9}\z"), text.cast("int"))
 
 
 def try_timestamp(text: Column) -> Column:

@@ -62,10 +62,14 @@ def disagreeing(legs: DataFrame, column: str, key: str = "call_id") -> DataFrame
     return legs.groupBy(key).agg(F.count_distinct(column).alias("n_values"), F.count(F.lit(1)).alias("n_legs")).filter("n_values > 1")
 
 
+#: What `recomputed` derives a second time.
+RECOMPUTED = ("date_key", "direction", "caller_number", "offered_at", "first_leg_seq", "first_queue", "agent_no", "answered_at", "ended_at", "wait_seconds", "talk_seconds", "leg_count", "queue_legs", "agent_legs", "answered_legs", "released_by", "is_complete", "is_transferred", "call_result")
+
+
 def recomputed(legs: DataFrame, key: str = "call_id") -> DataFrame:
-    """Some derived columns by another way (ranks instead of aggregates of structs), to be compared with from_legs."""
+    """Every derived column by another way (ranks instead of aggregates of structs), to be compared with from_legs."""
     queue, agent = F.col("device_type_code") == QUEUE, F.col("device_type_code") == AGENT
-    answered = agent & F.col("call_begin").isNotNull()
+    answered, last = agent & F.col("call_begin").isNotNull(), F.col("leg_seq") == LAST
     rank = lambda cond, *by: F.row_number().over(Window.partitionBy(key, cond).orderBy(*by))
     ranked = legs.withColumns(
         {
@@ -75,10 +79,22 @@ def recomputed(legs: DataFrame, key: str = "call_id") -> DataFrame:
         }
     )
     one = lambda c, cond: F.max(F.when(cond, F.col(c)))
-    return ranked.groupBy(key).agg(
-        one("direction", F.col("_first") == 1).alias("direction"),
-        one("date_key", F.col("_first") == 1).alias("date_key"),
+    first = F.col("_first") == 1
+    total = lambda c, cond: F.sum(F.when(cond, F.coalesce(c, F.lit(0))).otherwise(0))
+    number = lambda cond: F.sum(cond.cast("long"))
+    told = ranked.groupBy(key).agg(
+        *(one(c, first).alias(name) for c, name in (("date_key", "date_key"), ("direction", "direction"), ("caller", "caller_number"), ("wait_begin", "offered_at"), ("leg_seq", "first_leg_seq"))),
         one("device_no", queue & (F.col("_queue") == 1)).alias("first_queue"),
         one("device_no", answered & (F.col("_answer") == 1)).alias("agent_no"),
-        F.count_if(answered).alias("answered_legs"),
+        one("call_begin", answered & (F.col("_answer") == 1)).alias("answered_at"),
+        F.max(F.when(last, F.coalesce("call_end", "wait_end"))).alias("ended_at"),
+        total("wait_seconds", queue).alias("wait_seconds"),
+        total("talk_seconds", agent).alias("talk_seconds"),
+        F.max("_first").cast("long").alias("leg_count"),
+        *(number(cond).alias(name) for cond, name in ((queue, "queue_legs"), (agent, "agent_legs"), (answered, "answered_legs"))),
+        one("release_source", last).alias("released_by"),
+        (number(last) > 0).alias("is_complete"),
     )
+    reached, open_ = F.col("queue_legs") + F.col("agent_legs") > 0, ~F.col("is_complete")
+    results = F.array_compact(F.array(F.when(F.col("answered_legs") > 0, "answered"), F.when(reached & (F.col("released_by") == "caller"), "abandoned"), F.when(reached, "unanswered_system"), F.lit("ivr_only")))
+    return told.withColumns({"is_transferred": F.col("answered_legs") > 1, "call_result": F.when(~open_, F.get(results, F.lit(0)))})

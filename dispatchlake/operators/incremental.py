@@ -85,6 +85,21 @@ def wide_keys(rows: DataFrame, key: list[str], start: str, existing: DataFrame |
     return starts.groupBy(*key).agg(span.alias("span_seconds"), F.count(F.lit(1)).alias("n")).filter(F.col("span_seconds") > hours * 3600)
 
 
+def guarded(rows: DataFrame, stored: DataFrame, key: list[str], start: str, hours: int = 24) -> tuple[DataFrame, DataFrame]:
+    """(rows that may be written, keys that are withheld with how many observations they have): a key whose starts lie
+    too far apart may be two things, and none of its rows is written."""
+    wide = wide_keys(rows, key, start, stored).select(*key)
+    return rows.join(wide, key, "left_anti"), rows.join(wide, key, "left_semi").groupBy(*key).agg(F.count(F.lit(1)).alias("observations"))
+
+
+def guard_items(withheld: DataFrame, queue: DataFrame, source_id: str, column: str, value: Column) -> DataFrame:
+    """One open question for each withheld key that none is open for yet, with its observations when first raised."""
+    item = ["source_id", "column_name", "value"]
+    waiting = queue.filter(F.col("status").isin("open", "asked")).select(*item)
+    raised = withheld.select(F.lit(source_id).alias("source_id"), F.lit(column).alias("column_name"), value.alias("value"), F.col("observations").alias("occurrences"))
+    return raised.join(waiting, item, "left_anti").withColumn("status", F.lit("open"))
+
+
 def upserts(candidates: DataFrame, stored: DataFrame, key: list[str], content: list[str], observed: str) -> DataFrame:
     """Candidates to write: the key is new, or the content differs and the observation is not older."""
     c, s = candidates.alias("c"), stored.withColumn("_there", F.lit(True)).alias("s")

@@ -34,6 +34,16 @@ def as_of(points: DataFrame, states: DataFrame, key: str, at: str, effective: st
     return filled.select(*points.columns, *(F.col(f"_state.{c}").alias(c) for c in columns))
 
 
+def contained_or_last_ended(points: DataFrame, marks: DataFrame, key: str, at: str, columns: list[str], row: list[str]) -> DataFrame:
+    """`points` with `columns` of two marks of their key: in_... of the one that began last of those that hold at `at`,
+    and ended_... of the one that ended last by then. `row` identifies a point."""
+    inside = version_at(points, marks.select(key, "valid_from", "valid_to", F.struct("valid_from", *columns).alias("_in")), key, at, ["_in"])
+    latest = inside.groupBy(*row).agg(F.max("_in").alias("_in"))
+    ended = as_of(points.select(key, at, *row), marks, key, at, "valid_to", columns)
+    joined = ended.join(latest, row)
+    return joined.select(key, at, *row, *(F.col(f"_in.{c}").alias(f"in_{c}") for c in columns), *(F.col(c).alias(f"ended_{c}") for c in columns))
+
+
 def overlapping(versions: DataFrame, key: str) -> DataFrame:
     """Versions that overlap an earlier one of their key, or are inverted. One pass over each key in order."""
     order = Window.partitionBy(key).orderBy("valid_from", "valid_to").rowsBetween(Window.unboundedPreceding, -1)

@@ -49,9 +49,9 @@ def _(spark, sf):
     return ops.handling_times(_incidents(spark, sf), "site")
 
 
-@query("metric_i01_i02_dispatch_ratio", f"{_TREE} SELECT site, count(*) AS incidents, count(h) AS dispatched, count(h)::DOUBLE / count(*) AS ratio FROM incidents LEFT JOIN (SELECT DISTINCT incident, true AS h FROM dispatches WHERE agency % 3 = 0) USING (incident) GROUP BY 1")
+@query("metric_i01_i02_dispatch_ratio", f"{_TREE} SELECT site, count(*) AS incidents, count(h) AS dispatched, count(h)::DOUBLE / count(*) AS ratio FROM incidents LEFT JOIN (SELECT DISTINCT incident, true AS h FROM dispatches) USING (incident) GROUP BY 1")
 def _(spark, sf):
-    return ops.dispatch_ratio(_incidents(spark, sf), _dispatches(spark, sf).filter("agency % 3 = 0"), "site")
+    return ops.dispatch_ratio(_incidents(spark, sf), _dispatches(spark, sf), "site")
 
 
 @query("metric_i04_initial_dispatch", f"{_TREE} SELECT site, count(*) AS orders, sum(dispatched_at - reported_at)::DOUBLE / count(*) AS mean FROM incidents JOIN dispatches USING (incident) WHERE is_initial GROUP BY 1")
@@ -59,9 +59,9 @@ def _(spark, sf):
     return ops.initial_dispatch_time(_incidents(spark, sf), _dispatches(spark, sf), "site")
 
 
-@query("metric_i10_late_dispatches", f"{_TREE} SELECT d.agency, count(*) AS dispatches, count(*) FILTER (WHERE a IS NULL OR a - dispatched_at > 2592000) AS late FROM dispatches d LEFT JOIN (SELECT incident, agency, min(arrived_at) AS a FROM turnouts WHERE officer > 1 GROUP BY 1, 2) USING (incident, agency) GROUP BY 1")
+@query("metric_i10_late_dispatches", f"{_TREE} SELECT d.agency, count(*) AS dispatches, count(*) FILTER (WHERE a IS NULL OR a - dispatched_at > 2592000) AS late FROM dispatches d LEFT JOIN (SELECT incident, agency, min(arrived_at) AS a FROM turnouts GROUP BY 1, 2) USING (incident, agency) GROUP BY 1")
 def _(spark, sf):
-    return ops.late(_dispatches(spark, sf), _turnouts(spark, sf).filter("officer > 1"), 30 * _DAY, "agency")
+    return ops.late(_dispatches(spark, sf), _turnouts(spark, sf), 30 * _DAY, "agency")
 
 
 @query("metric_i24_i25_closed", f"{_TREE} SELECT DATE '1970-01-01' + (closed_at // 86400)::INTEGER AS closed_day, count(*) AS closed, count(*) FILTER (WHERE reported_at // 86400 < closed_at // 86400) AS retrospective FROM incidents WHERE closed_at IS NOT NULL GROUP BY 1")
@@ -88,13 +88,27 @@ def _(spark, sf):
     return ops.open_turnouts(t, 915148800, "agency")
 
 
-@query("metric_i13_hotspots")
+_UTM = """WITH places AS (SELECT radians(21.4 + (o_orderkey % 30) / 1000) AS phi, radians(39.8 + (o_custkey % 40) / 1000 - 39.0) AS lam FROM orders),
+f AS (SELECT 1 / 298.257223563 AS f), e AS (SELECT f * (2 - f) AS e2, f * (2 - f) / (1 - f * (2 - f)) AS ep2 FROM f),
+t AS (SELECT phi, e2, ep2, 6378137.0 / sqrt(1 - e2 * sin(phi) ** 2) AS n, tan(phi) ** 2 AS t, ep2 * cos(phi) ** 2 AS c, lam * cos(phi) AS a,
+  6378137.0 * ((1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256) * phi - (3 * e2 / 8 + 3 * e2 ** 2 / 32 + 45 * e2 ** 3 / 1024) * sin(2 * phi)
+    + (15 * e2 ** 2 / 256 + 45 * e2 ** 3 / 1024) * sin(4 * phi) - (35 * e2 ** 3 / 3072) * sin(6 * phi)) AS m FROM places, e),
+g AS (SELECT floor((500000 + 0.9996 * n * (a + (1 - t + c) * a ** 3 / 6 + (5 - 18 * t + t * t + 72 * c - 58 * ep2) * a ** 5 / 120)) / 500)::BIGINT AS x,
+  floor(0.9996 * (m + n * tan(phi) * (a ** 2 / 2 + (5 - t + 9 * c + 4 * c * c) * a ** 4 / 24 + (61 - 58 * t + t * t + 600 * c - 330 * ep2) * a ** 6 / 720)) / 500)::BIGINT AS y FROM t)
+SELECT x, y, count(*) AS n FROM g GROUP BY 1, 2 HAVING count(*) >= 5"""
+
+
+@query("metric_i13_hotspots", _UTM)
 def _(spark, sf):
     places = table(spark, sf, "orders").select((39.8 + (F.col("o_custkey") % 40) / 1000).alias("longitude"), (21.4 + (F.col("o_orderkey") % 30) / 1000).alias("latitude"))
     return ops.hotspots(places)
 
 
-@query("src_17_synthetic_calls")
+_DRAW = "('0x' || substr(md5('7-{}-' || minute || '-' || n), 1, 13))::BIGINT"
+
+
+@query("src_17_synthetic_calls", f"""SELECT '7-' || minute || '-' || n AS call_id, minute, {_DRAW.format("queue")} % 5 AS queue, {_DRAW.format("length")} % 30 + 1 AS length, minute + {_DRAW.format("length")} % 30 + 1 <= 1100 AS is_complete
+  FROM (SELECT 1000 + i AS minute, j AS n FROM range(120) a(i), range(3) b(j)) WHERE minute <= 1100""")
 def _(spark, sf):
     from ..sources.polled import synthetic
 

@@ -411,11 +411,12 @@ def _(spark, sf):
     return table(spark, sf, "orders").filter("o_orderstatus = 'P'").orderBy("o_orderdate", "o_orderkey").limit(1).select("o_orderkey", "o_custkey")
 
 
-@query("so_05_numeric_sort", "SELECT user_id::VARCHAR AS id, row_number() OVER (ORDER BY user_id) AS place FROM (SELECT DISTINCT user_id FROM events)")
+@query("so_05_numeric_sort", "SELECT user_id::VARCHAR AS id, row_number() OVER (ORDER BY user_id) AS place FROM (SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL)")
 def _(spark, sf):
-    # a list of ids to be asked for, not rows of the input
-    ids = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("id")).distinct()
-    return ids.select("id", F.row_number().over(Window.orderBy(F.col("id").cast("long"))).cast("long").alias("place"))
+    from ..operators.ordering import places
+
+    ids = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("id")).distinct().filter("id is not null")
+    return places(ids, F.col("id").cast("long"), "place").select("id", "place")
 
 
 @query("st_01_union_all", "SELECT k, count(*) AS n FROM (SELECT c_nationkey AS k FROM customer UNION ALL SELECT s_nationkey FROM supplier) GROUP BY 1")

@@ -495,37 +495,45 @@ def _(spark, sf):
 # --- requests --------------------------------------------------------------------------------------
 
 
+#: Ranges that together cover the tables, each within what one request may ask for, cut between weeks.
+_RANGES = ((date(1995, 1, 1), date(1997, 12, 27)), (date(1997, 12, 28), date(2000, 12, 23)), (date(2000, 12, 24), date(2002, 1, 5)))
+
+
 def _request(spark, sf, metrics, dims=(), filters=None, granularity=None, mart="calls_day_volume", principal=None):
-    """A request over a mart whose days of 1997 are closed."""
+    """A request for each range over a mart whose days are closed."""
     rows = marts.build(mart, all_calls(spark, sf), legs(spark, sf))
     rows = rows.withColumn("day", F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")).withColumn("close_version", F.lit(1))
-    record = periods.spine(spark, "1997-01-01", "1997-12-31").select(F.lit(mart).alias("mart"), "day", F.lit(1).alias("close_version"), F.lit(1).cast("long").alias("publication_seq"))
-    request = semantic.Request(tuple(metrics), date(1997, 1, 1), date(1997, 6, 30), tuple(dims), filters or {}, granularity)
-    plan = semantic.plan(request, principal or semantic.Principal("u", ("admin",)))
-    return semantic.execute(plan, rows, record)[0]
+    record = periods.spine(spark, str(_RANGES[0][0]), str(_RANGES[-1][1])).select(F.lit(mart).alias("mart"), "day", F.lit(1).alias("close_version"), F.lit(1).cast("long").alias("publication_seq"))
+    out = None
+    for first, last in _RANGES:
+        request = semantic.Request(tuple(metrics), first, last, tuple(dims), filters or {}, granularity)
+        plan = semantic.plan(request, principal or semantic.Principal("u", ("admin",)))
+        result = semantic.execute(plan, rows, record)[0]
+        out = result if out is None else out.unionByName(result)
+    return out
 
 
-_IN = "date_key BETWEEN 19970101 AND 19970630"
+_RANGE = "(date_key > 19971227)::INTEGER + (date_key > 20001223)::INTEGER"
 _VOLUME_CTE = "v AS (SELECT date_key, count(*) FILTER (WHERE direction = 'inbound' AND is_complete) AS offered, count(*) FILTER (WHERE direction = 'inbound' AND call_result = 'answered') AS answered FROM calls GROUP BY 1)"
 
 
-@query("qry_06_by_month", f"{BASE}, {_VOLUME_CTE} SELECT date_trunc('month', {_DAY})::DATE AS period, sum(offered)::DOUBLE AS \"M-C01\", 1 AS \"M-C01_version\" FROM v WHERE {_IN} GROUP BY 1")
+@query("qry_06_by_month", f"{BASE}, {_VOLUME_CTE} SELECT date_trunc('month', {_DAY})::DATE AS period, sum(offered)::DOUBLE AS \"M-C01\", 1 AS \"M-C01_version\" FROM v GROUP BY 1, {_RANGE}")
 def _(spark, sf):
     return _request(spark, sf, ["M-C01"], granularity="month")
 
 
-@query("qry_07_ratio", f"{BASE}, {_VOLUME_CTE} SELECT date_trunc('week', {_DAY} + 1)::DATE - 1 AS period, sum(answered)::DOUBLE / nullif(sum(offered), 0) AS \"M-C04\", 1 AS \"M-C04_version\" FROM v WHERE {_IN} GROUP BY 1")
+@query("qry_07_ratio", f"{BASE}, {_VOLUME_CTE} SELECT date_trunc('week', {_DAY} + 1)::DATE - 1 AS period, sum(answered)::DOUBLE / nullif(sum(offered), 0) AS \"M-C04\", 1 AS \"M-C04_version\" FROM v GROUP BY 1, {_RANGE}")
 def _(spark, sf):
     return _request(spark, sf, ["M-C04"], granularity="week")
 
 
-@query("qry_03_filtered_members", f"{BASE} SELECT first_queue::VARCHAR AS queue, count(*) FILTER (WHERE call_result = 'answered' AND wait_seconds <= 20)::DOUBLE / count(*) AS \"M-C05\", 1 AS \"M-C05_version\" FROM calls WHERE direction = 'inbound' AND is_complete AND first_queue IN (1, 3) AND {_IN} GROUP BY 1")
+@query("qry_03_filtered_members", f"{BASE} SELECT first_queue::VARCHAR AS queue, count(*) FILTER (WHERE call_result = 'answered' AND wait_seconds <= 20)::DOUBLE / count(*) AS \"M-C05\", 1 AS \"M-C05_version\" FROM calls WHERE direction = 'inbound' AND is_complete AND first_queue IN (1, 3) GROUP BY 1, {_RANGE}")
 def _(spark, sf):
     return _request(spark, sf, ["M-C05"], ["queue"], {"queue": ("1", "3")}, mart="calls_day_queue_service")
 
 
-@query("prj_17_row_filter", f"{BASE} SELECT device_no::VARCHAR AS agent, count(*)::DOUBLE AS \"M-C09\", 1 AS \"M-C09_version\" FROM legs WHERE device_type_code = 2 AND device_no = 7 AND {_IN} GROUP BY 1")
-@query("qry_11_own_rows_only", f"{BASE} SELECT device_no::VARCHAR AS agent, count(*)::DOUBLE AS \"M-C09\", 1 AS \"M-C09_version\" FROM legs WHERE device_type_code = 2 AND device_no = 7 AND {_IN} GROUP BY 1")
+@query("prj_17_row_filter", f"{BASE} SELECT device_no::VARCHAR AS agent, count(*)::DOUBLE AS \"M-C09\", 1 AS \"M-C09_version\" FROM legs WHERE device_type_code = 2 AND device_no = 7 GROUP BY 1, {_RANGE}")
+@query("qry_11_own_rows_only", f"{BASE} SELECT device_no::VARCHAR AS agent, count(*)::DOUBLE AS \"M-C09\", 1 AS \"M-C09_version\" FROM legs WHERE device_type_code = 2 AND device_no = 7 GROUP BY 1, {_RANGE}")
 def _(spark, sf):
     return _request(spark, sf, ["M-C09"], ["agent"], mart="legs_day_agent_handling", principal=semantic.Principal("a7", ("agent",), "7"))
 
@@ -710,10 +718,16 @@ def _(spark, sf):
     return quality.without_first_leg(all_calls(spark, sf))
 
 
-@query("dq_15_recompute", f"{BASE} SELECT call_id FROM calls WHERE call_id % 101 = 0 AND answered_legs IS NOT NULL")
+@query("dq_15_recompute", f"{BASE} SELECT call_id FROM calls WHERE call_id % 101 = 0 OR (call_id % 103 = 0 AND is_complete) OR (call_id % 107 = 0 AND first_queue IS NOT NULL) OR call_id % 109 = 0")
 def _(spark, sf):
-    stored = all_calls(spark, sf).withColumn("answered_legs", F.when(F.col("call_id") % 101 == 0, F.col("answered_legs") + 1).otherwise(F.col("answered_legs")))
-    return quality.recompute_differs(stored, call_ops.recomputed(legs(spark, sf)), "call_id", ["direction", "date_key", "first_queue", "agent_no", "answered_legs"])
+    wrong = lambda n, c, value: F.when(F.col("call_id") % n == 0, value).otherwise(F.col(c))
+    stored = all_calls(spark, sf).withColumns({
+        "answered_legs": wrong(101, "answered_legs", F.col("answered_legs") + 1),
+        "ended_at": wrong(103, "ended_at", F.lit(None)),
+        "first_queue": wrong(107, "first_queue", F.col("first_queue") + 1),
+        "wait_seconds": wrong(109, "wait_seconds", F.col("wait_seconds") + 1),
+    })
+    return quality.recompute_differs(stored, call_ops.recomputed(legs(spark, sf)), "call_id", list(call_ops.RECOMPUTED))
 
 
 @query("dq_16_result_rules", f"{BASE} SELECT call_id, 'answer_not_counted' AS rule FROM calls WHERE call_id % 89 = 0 AND is_complete AND answered_legs > 0 UNION ALL SELECT call_id, 'ivr_only_with_queue' FROM calls WHERE call_id % 89 = 0 AND queue_legs + agent_legs > 0 UNION ALL SELECT call_id, 'incomplete_with_result' FROM calls WHERE call_id % 89 = 0 AND NOT is_complete")

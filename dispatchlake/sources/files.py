@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,26 +28,59 @@ def header_findings(header: list[str], contract: Contract) -> dict[str, list[str
     }
 
 
-def read_csv(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """Every column as text, in the header's order. Empty files, bad headers and ragged rows reject the batch."""
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
+def _marked(spark: SparkSession, file: str) -> bool:
+    """Whether a file begins with a byte order mark, which line readers skip. Three bytes are read."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(context._jsc.hadoopConfiguration()).open(path)
+    try:
+        return [stream.read() for _ in range(3)] == [0xEF, 0xBB, 0xBF]
+    finally:
+        stream.close()
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """file, value and a struct `at` that orders the lines of a file. Text is not decoded, so bytes stay as they are."""
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value", place.alias("at"))
+
+
+def _header(spark: SparkSession, line: str) -> list[str]:
+    fields = ",".join(f"c{i} string" for i in range(line.count(",") + 1))
+    return [h or "" for h in spark.range(1).select(F.from_csv(F.lit(line), fields).alias("r")).select("r.*").first() if h is not None or line]
+
+
+def read_csv(spark: SparkSession, path: str | list[str], contract: Contract) -> DataFrame:
+    """Every column as text, in the first header's order; a path may hold several files, whose headers may differ in
+    order. Empty files, bad headers, ragged rows and bytes that are not UTF-8 reject the batch."""
+    paths = [path] if isinstance(path, str) else path
+    files = spark.read.text(paths).inputFiles()
+    lines = _lines(spark, paths)
+    # one row for each file
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"), F.count_if(~F.is_valid_utf8("value")).alias("undecodable")).collect()
+    if not files or len(first) < len(files):
         raise Rejected("the file is empty")
-    header = next(iter(spark.createDataFrame([(first[0][0],)], "line string").select(F.from_csv("line", ",".join(f"c{i} string" for i in range(first[0][0].count(",") + 1))).alias("r")).select("r.*").collect()))
-    header = [h or "" for h in header]
-    # line readers skip a byte order mark; here it belongs to the first name
-    marked = spark.read.format("binaryFile").load(path).filter(F.hex(F.substring("content", 1, 3)) == "EFBBBF").select("path")
-    if not marked.isEmpty():
-        header[0] = "\ufeff" + header[0]
-    found = header_findings(header, contract)
-    if found["missing"] or found["repeated"]:
-        raise Rejected(f"header: {found}")
-    schema = ", ".join(f"`{h}` string" for h in header) + ", _corrupt string"
-    rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").csv(path)
-    bad = rows.filter(F.col("_corrupt").isNotNull() | F.concat_ws("", *(F.col(f"`{h}`") for h in header)).contains("�"))
-    if not bad.isEmpty():
-        raise Rejected("rows with another number of fields, or text that is not UTF-8")
-    return rows.drop("_corrupt")
+    if any(r["undecodable"] for r in first):
+        raise Rejected("text that is not UTF-8")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(first, key=lambda r: r["file"]):
+        header = _header(spark, r["header"])
+        if _marked(spark, r["file"]):
+            header[0] = "\ufeff" + header[0]
+        found = header_findings(header, contract)
+        if found["missing"] or found["repeated"]:
+            raise Rejected(f"header: {found}")
+        by_header.setdefault(tuple(header), []).append(r["file"])
+    out = None
+    for header, own in by_header.items():
+        schema = ", ".join(f"`{h}` string" for h in header) + ", _corrupt string"
+        rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").csv(own)
+        # the reader only tells what is corrupt where it reads the other columns too
+        if not rows.filter(F.col("_corrupt").isNotNull() & (F.length(F.concat_ws("", *(F.col(f"`{h}`") for h in header))) >= 0)).isEmpty():
+            raise Rejected("rows with another number of fields")
+        rows = rows.drop("_corrupt")
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
 
 
 def read_drop(spark: SparkSession, folder: str, contract: Contract) -> DataFrame:
@@ -53,16 +88,12 @@ def read_drop(spark: SparkSession, folder: str, contract: Contract) -> DataFrame
 
     The checksum is the sum of the CRC-32 of every line, so it does not depend on the order of lines."""
     manifest = json.loads("\n".join(r[0] for r in spark.read.text(f"{folder}/manifest.json").collect()))
-    lines = spark.read.text([f"{folder}/{name}" for name in manifest["files"]]).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
-    seen = {r["file"]: r["n"] - 1 for r in lines.groupBy("file").agg(F.count(F.lit(1)).alias("n")).collect()}
-    checksum = lines.agg(F.sum(F.crc32(F.col("value").cast("binary")))).first()[0]
+    paths = [f"{folder}/{name}" for name in manifest["files"]]
+    told = _lines(spark, paths).groupBy(F.element_at(F.split("file", "/"), -1).alias("name")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.crc32(F.col("value").cast("binary"))).alias("checksum")).collect()
+    seen, checksum = {r["name"]: r["n"] - 1 for r in told}, sum(r["checksum"] for r in told)
     if seen != manifest["files"] or checksum != manifest["checksum"]:
         raise Rejected("files, row counts or checksum differ from the manifest")
-    out = None
-    for name in manifest["files"]:
-        part = read_csv(spark, f"{folder}/{name}", contract)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return read_csv(spark, paths, contract)
 
 
 def append_raw(rows: DataFrame, path: str) -> None:
@@ -81,6 +112,48 @@ def export(rows: DataFrame, path: str, kind: str) -> None:
     (rows.write.mode("errorifexists").option("header", True)).format(kind).save(path)
 
 
-def migrate(spark: SparkSession, url: str, entity: str, year_column: str, years: list[int], properties: dict[str, str]) -> DataFrame:
-    """An archive read over JDBC, one partition for each year."""
-    return spark.read.jdbc(url, entity, predicates=[f"{year_column} = {int(y)}" for y in years], properties=properties)
+class Differs(RuntimeError):
+    """What was written is not what the source has."""
+
+
+def migrate(read: Callable[[str, int], DataFrame], entities: dict[str, list[int]], path: str, key: str) -> list[dict]:
+    """An archive, entity by entity and year by year: each batch is read, written to its own folder, and reconciled
+    by rows, distinct keys and a sum of row hashes before the next one begins. A batch that was committed is not
+    read again; one that differs stops the migration with its folder left to be overwritten.
+
+    `read(entity, year)` gives a batch, over JDBC for one (see `jdbc_year`)."""
+    out = []
+    for entity, years in entities.items():
+        for year in years:
+            source = read(entity, year)
+            spark, folder = source.sparkSession, f"{path}/{entity}/year={year}"
+            done = f"{path}/_migrated/{entity}/year={year}"
+            try:
+                out.append(spark.read.json(done).first().asDict())
+                continue
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+            source.write.mode("overwrite").parquet(folder)
+            told, stored = (_totals(df, key) for df in (source, spark.read.schema(source.schema).parquet(folder)))
+            if told != stored:
+                raise Differs(f"{entity} {year}: the source has {told}, the target {stored}")
+            batch = {"entity": entity, "year": year, **told}
+            spark.createDataFrame([batch]).write.json(done)
+            out.append(batch)
+    return out
+
+
+def _totals(df: DataFrame, key: str) -> dict[str, int]:
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("hashes")).first()
+    return {"rows": row["rows"], "keys": row["keys"], "hashes": str(row["hashes"])}
+
+
+def jdbc_year(spark: SparkSession, url: str, year_column: str, properties: dict[str, str]) -> Callable[[str, int], DataFrame]:
+    """Reads one year of an entity over JDBC, a partition for each month."""
+
+    def read(entity: str, year: int) -> DataFrame:
+        months = [f"{year_column} >= '{year}-{m:02d}-01' AND {year_column} < '{year + m // 12}-{m % 12 + 1:02d}-01'" for m in range(1, 13)]
+        return spark.read.jdbc(url, entity, predicates=months, properties=properties)
+
+    return read

@@ -46,17 +46,26 @@ def chunks(ids: Iterable[str], size: int) -> list[list[str]]:
     return [ordered[i : i + size] for i in range(0, len(ordered), size)]
 
 
-def observations(spark: SparkSession, run_id: str, ids: Iterable[str], size: int, fetch: Callable[[list[str]], list[dict]]) -> DataFrame:
-    """One batch for each chunk; ids that were not asked for are kept for the batch check to find."""
-    rows = [(run_id, seq, "index", 0, json.dumps(r, ensure_ascii=False)) for seq, part in enumerate(chunks(ids, size)) for r in fetch(part)]
-    return spark.createDataFrame(rows, RAW)
+def observations(spark: SparkSession, run_id: str, ids: Iterable[str], size: int, fetch: Callable[[list[str]], list[dict]], parallel: int = 8) -> DataFrame:
+    """One batch for each chunk, fetched by tasks (at most `parallel` at once, as many as the source bears); ids that
+    were not asked for are kept for the batch check to find."""
+    asked = spark.createDataFrame([(seq, part) for seq, part in enumerate(chunks(ids, size))], "batch_seq long, ids array<string>").repartition(parallel)
+
+    def fetched(batches):
+        import pandas as pd
+
+        for batch in batches:
+            found = [(run_id, seq, "index", 0, json.dumps(r, ensure_ascii=False)) for seq, part in zip(batch["batch_seq"], batch["ids"], strict=True) for r in fetch(list(part))]
+            yield pd.DataFrame(found, columns=["run_id", "batch_seq", "dataset", "version", "payload"])
+
+    return asked.mapInPandas(fetched, RAW)
 
 
 def synthetic(spark: SparkSession, seed: int, first_minute: int, minutes: int, now_minute: int, per_minute: int = 3) -> DataFrame:
     """Calls as a pure function of (seed, minute); what has ended by `now_minute` is complete."""
     rows = spark.range(first_minute, first_minute + minutes).withColumnRenamed("id", "minute")
     rows = rows.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(per_minute - 1))))
-    draw = lambda salt: F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), "minute", "n"), F.lit(1_000_000))
+    draw = lambda salt: F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(seed), F.lit(salt), "minute", "n")), 1, 13), 16, 10).cast("long")
     length = draw("length") % 30 + 1
     rows = rows.select(F.concat_ws("-", F.lit(seed), "minute", "n").alias("call_id"), "minute", (draw("queue") % 5).alias("queue"), length.alias("length"), (F.col("minute") + length <= now_minute).alias("is_complete"))
     return rows.filter(F.col("minute") <= now_minute)

@@ -299,3 +299,96 @@ def test_controlled_sql_never_cuts(spark):
     assert semantic.controlled_sql(spark, "SELECT * FROM three_rows WHERE id > 7", views, 3).columns == ["id"]
     with pytest.raises(semantic.ERRORS["result_too_large"]):
         semantic.controlled_sql(spark, "SELECT * FROM three_rows", views, 2)
+
+
+def test_files_of_a_drop(spark, tmp_path):
+    c = contracts.Contract("s", 1, "file_drop", ("id", "name"), ("id",))
+
+    def drop(name, parts, rows=None, checksum=None):
+        import json
+        import zlib
+
+        folder = tmp_path / name
+        folder.mkdir()
+        for file, text in parts.items():
+            (folder / file).write_bytes(text if isinstance(text, bytes) else text.encode())
+        lines = [line for text in parts.values() for line in (text if isinstance(text, bytes) else text.encode()).split(b"\n") if line]
+        manifest = {"files": rows or {f: (t if isinstance(t, bytes) else t.encode()).count(b"\n") - 1 for f, t in parts.items()}, "checksum": checksum or sum(map(zlib.crc32, lines))}
+        (folder / "manifest.json").write_text(json.dumps(manifest))
+        return str(folder)
+
+    # columns in another order in the second file, a valid replacement character
+    good = drop("good", {"a.csv": "id,name\n1,x\n2,�\n", "b.csv": "name,id\ny,3\n", "c.csv": "id,name,more\n4,z,q\n"})
+    got = files.read_drop(spark, good, c)
+    assert sorted((r["id"], r["name"], r["more"]) for r in got.collect()) == [("1", "x", None), ("2", "�", None), ("3", "y", None), ("4", "z", "q")]
+    folder = tmp_path / "folder"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,name\n1,x\n")
+    (folder / "b.csv").write_text("name,id\ny,2\n")
+    assert sorted(map(tuple, files.read_csv(spark, str(folder), c).select("id", "name").collect())) == [("1", "x"), ("2", "y")]
+    for bad in (
+        drop("marked", {"a.csv": "id,name\n1,x\n", "b.csv": "﻿id,name\n2,y\n"}),
+        drop("missing", {"a.csv": "id,name\n1,x\n", "b.csv": "id,other\n2,y\n"}),
+        drop("ragged", {"a.csv": "id,name\n1,x\n", "b.csv": "id,name\n2,y,z\n"}),
+        drop("bytes", {"a.csv": b"id,name\n1,\xff\n"}),
+        drop("rows", {"a.csv": "id,name\n1,x\n"}, rows={"a.csv": 2}),
+        drop("sum", {"a.csv": "id,name\n1,x\n"}, checksum=1),
+    ):
+        with pytest.raises(files.Rejected):
+            files.read_drop(spark, bad, c)
+    (folder / "empty.csv").write_text("")
+    with pytest.raises(files.Rejected):
+        files.read_csv(spark, str(folder), c)
+
+
+def test_migration_commits_and_reconciles_each_batch(spark, tmp_path):
+    from dispatchlake.sources.files import Differs, migrate
+
+    rows = {(e, y): spark.createDataFrame([(i, f"{e}{y}{i}") for i in range(5)], "id long, v string") for e in ("calls", "legs") for y in (2020, 2021)}
+    asked = []
+
+    def read(entity, year):
+        asked.append((entity, year))
+        return rows[entity, year]
+
+    years = {"calls": [2020, 2021], "legs": [2020, 2021]}
+    told = migrate(read, years, str(tmp_path / "m"), "id")
+    assert [(b["entity"], b["year"], b["rows"], b["keys"]) for b in told] == [(e, y, 5, 5) for e, y in rows] and len(asked) == 4
+    assert spark.read.parquet(str(tmp_path / "m" / "calls")).groupBy("year").count().count() == 2
+    # what was committed is not written again
+    before = sorted(p.name for p in (tmp_path / "m" / "calls" / "year=2020").iterdir())
+    assert migrate(read, years, str(tmp_path / "m"), "id") == told and sorted(p.name for p in (tmp_path / "m" / "calls" / "year=2020").iterdir()) == before
+    # a source that gives other rows each time it is read cannot be reconciled
+    def drawn(batches):
+        import uuid
+
+        for b in batches:
+            yield b.assign(v=[str(uuid.uuid4()) for _ in range(len(b))])
+
+    unsteady = lambda e, y: spark.range(5).mapInPandas(drawn, "id long, v string")
+    with pytest.raises(Differs):
+        migrate(unsteady, {"other": [2020]}, str(tmp_path / "m"), "id")
+
+
+def test_observations_are_fetched_by_tasks(spark):
+    found = polled.observations(spark, "r", [str(i) for i in range(25)], 10, lambda ids: [{"id": i} for i in ids])
+    got = found.collect()
+    assert len(got) == 25 and {r["batch_seq"] for r in got} == {0, 1, 2} and found.rdd.getNumPartitions() > 1
+
+
+def test_places_without_one_task(spark):
+    from dispatchlake.operators.ordering import places
+
+    values = [7, 7, None, -3, *range(100, 1100), 5, None]
+    got = places(spark.createDataFrame([(v,) for v in values], "v long").repartition(5), F.col("v"), "at", ranges=20).collect()
+    assert sorted(r["at"] for r in got) == list(range(1, len(values) + 1))
+    assert [r["v"] for r in sorted(got, key=lambda r: r["at"])] == [*sorted(v for v in values if v is not None), None, None]
+
+
+def test_recomputed_calls_have_every_column(spark):
+    rows = [leg("a", 1, 3, 0, 0), leg("a", 2, 1, 5, 10, 15), leg("a", -1, 2, 77, 30, 2, 60, "agent"), leg("b", 1, 1, 5, 0, 40), leg("b", -1, 2, 8, 50, 5, None, "caller"), leg("c", 1, 1, 6, 0, 10), leg("d", -1, 3, 0, 0, 0, None, "caller"), leg("e", -1, 1, 5, 0, 40, None, "system")]
+    legs_ = spark.createDataFrame(rows, LEGS)
+    one, two = calls.from_legs(legs_), calls.recomputed(legs_)
+    assert set(calls.RECOMPUTED) == set(one.columns) - {"call_id"} == set(two.columns) - {"call_id"}
+    order = ["call_id", *calls.RECOMPUTED]
+    assert sorted(map(tuple, one.select(order).collect())) == sorted(map(tuple, two.select(order).collect()))
