@@ -59,6 +59,14 @@ def hot_keys(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
     return counts.filter(F.col(n) > total / 1000).select(key)
 
 
+def join_many(big: DataFrame, small: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """`big` joined with `small`, which has one row for each key and in `n` the key's rows in `big`. Rows of
+    hot keys meet a broadcast of fewer than a thousand rows, the others a shuffle."""
+    hot = small.join(F.broadcast(hot_keys(small, key, n)), key, "left_semi")
+    rest = big.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return big.join(F.broadcast(hot), key).unionByName(rest.join(small, key)).drop(n)
+
+
 #: Texts come to Python tasks in batches of at most so many rows and bytes; a longer text is a batch of its own.
 BATCH_ROWS = 1000
 BATCH_BYTES = 4 << 20
