@@ -16,7 +16,8 @@ judged on the input.
 
 Nulls and empty texts have no words and are returned with zeros. Rows are judged as they stand: a
 repeated row is an exact copy, so all its words go if it has a window. The input's other columns are
-not needed and may have any name. A null id only shares blocks with other such rows of its length.
+not needed and may have any name. Null and repeated ids are rows of their own; rows lie in blocks by id
+and text, so only rows equal in both share one. Very long texts are judged whole; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -193,9 +194,10 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     bits = sketch.bits_for(size / ANCHOR_BYTES, ROWS)
     filled = only.select("text").mapInArrow(sketch.filler(_sketched(window), ROWS, bits), sketch.EMITTED)
     estimates = spark.sparkContext.broadcast(sketch.gather(filled, ROWS, bits))
-    # a block sends each slice one row: their numbers multiply, so both stay near what keeps all tasks busy
+    # a block sends each slice one row: their numbers multiply until a row holds a single window, then rows are
+    # as many as candidate windows; both stay near what keeps all tasks busy
     blocks, slices = parts(spark, size, least=2), parts(spark, size * 3, least=1)
-    blocked = only.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)))
+    blocked = only.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
     asked = blocked.groupBy("block").applyInArrow(_ask(window, estimates, slices), "block long, slice long, one binary, two binary")
     told = asked.groupBy("slice").applyInArrow(_tell, "block long, slice long, n long, repeated binary")
     id_type = only.schema["doc_id"].dataType

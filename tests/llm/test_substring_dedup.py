@@ -49,3 +49,13 @@ def test_empty_table_and_other_names(spark):
     assert remove_repeats(docs, "name", "body").collect() == []
     docs = spark.createDataFrame([("p", "x y " * 40)], "name string, body string")
     assert remove_repeats(docs, "name", "body", texts=False).first()[:3] == ("p", 80, 80)
+
+
+def test_rows_without_an_id_spread_over_blocks(spark):
+    rng = random.Random(2)
+    rows = [(None, " ".join(f"w{rng.randrange(60):02d}" for _ in range(40))) for _ in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, remove_repeats(docs.repartition(3), window=3).collect()), key=str)
+    assert got == brute(rows, 3)
+    blocks = docs.groupBy(F.pmod(F.xxhash64("doc_id", "text"), F.lit(16)).alias("block")).count().collect()
+    assert len(blocks) == 16 and max(r["count"] for r in blocks) < 60
