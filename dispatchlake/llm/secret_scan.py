@@ -1,12 +1,15 @@
 """Secret scans over an incremental ledger of text blobs.
 
-A blob is a text, addressed by its SHA-256. The ledger holds one row for each pair of blob and rule
-version that has been scanned, with the spans found. A scan takes the blobs of all rows (every
-version of every path), scans those whose pair is not in the ledger, each once, and joins the
-findings back to all rows that hold the blob.
-
-Nulls are scanned as empty texts. Repeated rows share one blob. Other columns are kept; the names
-`blob` and `spans` are the result's.
+A blob is a text, addressed by its SHA-256. The ledger is a Parquet table of one row for each pair of blob
+and rule version that has been scanned, with the spans found. A scan takes the blobs of all rows (every
+version of every path), scans those whose pair is not in the ledger, each once, appends them to it, and
+joins the findings back to all rows that hold the blob. A scan that is repeated, or that follows a new
+version of the corpus, reads texts only of blobs it has not seen; a scan that breaks off before the append
+is committed is repeated, and rows that two scans have appended count once.
+
+Nulls are scanned as empty texts. Repeated rows share one blob, null and repeated ids are rows of their
+own, very long texts are scanned whole, and an empty table stays empty. Other columns of any name are
+kept, but for `blob` and `spans`, which are the result's.
 """
 
 from __future__ import annotations
@@ -16,10 +19,11 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches
+from .shared import bounded_batches, folder, saved
 
 #: Changes with the rules: blobs are scanned anew under a new version.
 RULE_VERSION = 1
@@ -63,42 +67,73 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("blob"), pa.array(spans, kind)], names=["blob", "spans"])
 
 
-def blobs(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """`docs` with the address of each row's text in `blob`."""
-    return docs.withColumn("blob", F.unhex(F.sha2(F.coalesce(F.col(text_column), F.lit("")), 256)))
+def blob_of(text_column: str) -> F.Column:
+    """The address of a row's text."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text_column), F.lit("")), 256))
+
+
+class Ledger:
+    """The ledger of a corpus at `path`, a folder for each rule version."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    @classmethod
+    def of(cls, spark: SparkSession, corpus: str) -> Ledger:
+        """The ledger that the shared folder holds for the corpus of this name."""
+        return cls(spark, f"{folder(spark)}/secret-ledger/{hashlib.sha256(corpus.encode()).hexdigest()[:24]}")
 
+    def rows(self, version: int = RULE_VERSION) -> DataFrame | None:
+        """blob and spans of all that has been scanned under `version`; None before the first scan."""
+        try:
+            return self.spark.read.schema(f"blob binary, spans {SPANS}").parquet(f"{self.path}/rule_version={version}")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
 
-def scan_new(docs: DataFrame, ledger: DataFrame | None = None, version: int = RULE_VERSION, text_column: str = "text") -> DataFrame:
-    """Ledger rows (blob, rule_version, spans) of the blobs of `docs` that `ledger` has not seen under `version`.
+    def append(self, rows: DataFrame, version: int = RULE_VERSION) -> None:
+        rows.select("blob", "spans").write.mode("append").parquet(f"{self.path}/rule_version={version}")
 
-    A partition sends each blob that it holds once."""
+
+def scan_new(docs: DataFrame, seen: DataFrame | None = None, text_column: str = "text") -> DataFrame:
+    """blob and spans of the blobs of `docs` that `seen` (blob) does not hold.
+
+    Addresses are made distinct before they meet what has been seen, and a partition sends each text once."""
     bounded_batches(docs.sparkSession)
-    numbered = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text")).withColumn("blob", F.unhex(F.sha2("text", 256)))
-    unseen = numbered if ledger is None else numbered.join(ledger.filter(F.col("rule_version") == version).select("blob"), "blob", "left_anti")
+    texts = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text"), blob_of(text_column).alias("blob"))
+    if seen is not None:
+        unseen = saved(texts.select("blob").distinct().join(seen.select("blob"), "blob", "left_anti"), "secret-unseen")
+        texts = texts.filter(F.lit(False)) if unseen.isEmpty() else texts.join(unseen, "blob", "left_semi")
     # first() of one blob's rows is the same text whichever row it comes from
-    once = unseen.groupBy("blob").agg(F.first("text").alias("text"))
-    return once.mapInArrow(_scan, f"blob binary, spans {SPANS}").withColumn("rule_version", F.lit(version))
+    once = texts.groupBy("blob").agg(F.first("text").alias("text"))
+    return once.mapInArrow(_scan, f"blob binary, spans {SPANS}")
+
+
+def update(docs: DataFrame, ledger: Ledger, version: int = RULE_VERSION, text_column: str = "text") -> DataFrame:
+    """Scans what `ledger` has not seen of `docs`, appends it, and returns the ledger's rows."""
+    ledger.append(scan_new(docs, ledger.rows(version), text_column), version)
+    return ledger.rows(version)
 
 
-def scan(docs: DataFrame, ledger: DataFrame | None = None, version: int = RULE_VERSION, text_column: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(`docs` with `blob` and `spans`, the rows to append to the ledger)."""
-    new = scan_new(docs, ledger, version, text_column)
-    known = new if ledger is None else new.unionByName(ledger.filter(F.col("rule_version") == version).select(*new.columns))
+def scan(docs: DataFrame, ledger: Ledger | None = None, version: int = RULE_VERSION, text_column: str = "text") -> DataFrame:
+    """`docs` with `blob` and `spans`; what is scanned goes to `ledger`, or without one is forgotten."""
+    known = saved(scan_new(docs, None, text_column), "secret-spans") if ledger is None else update(docs, ledger, version, text_column)
     # a blob that a third of all rows hold is met in SALTS tasks, not in one
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    found = known.filter(F.size("spans") > 0).select("blob", "spans", salts.alias("_salt"))
-    rows = blobs(docs, text_column).withColumn("_salt", (F.rand(7) * SALTS).cast("int"))
-    rows = rows.join(found, ["blob", "_salt"], "left").withColumn("spans", F.coalesce("spans", F.array().cast(SPANS))).drop("_salt")
-    return rows, new
+    found = known.filter(F.size("spans") > 0).dropDuplicates(["blob"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in ("blob", "spans")))
+    rows = docs.select(own.alias("doc"), blob_of(text_column).alias("blob"), (F.monotonically_increasing_id() % SALTS).cast("int").alias("salt"))
+    rows = rows.join(found, ["blob", "salt"], "left").withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
+    return rows.select("doc.*", "blob", "spans")
 
 
 def _named(s) -> F.Column:
     return F.concat_ws(":", s["kind"], s["start"], s["end"])
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, ledger: Ledger | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256 and spans of every row of `docs`."""
-    rows, _ = scan(docs.select("doc_id", "text"))
+    rows = scan(docs.select("doc_id", "text"), ledger)
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
     of_kind = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k))
     counts = [of_kind(k).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
@@ -107,4 +142,5 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def op3_secret_scan(spark, sf_dir: str) -> DataFrame:
-    return report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """The contract's columns for every row of documents, over the ledger of this corpus."""
+    return report(spark.read.parquet(f"{sf_dir}/documents.parquet"), Ledger.of(spark, sf_dir))
