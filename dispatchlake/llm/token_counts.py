@@ -9,9 +9,10 @@ the words' counts.
 
 The counts of the most frequent words, at most BROADCAST_WORDS of them, are broadcast; the words
 beyond that are joined by a shuffle, already summed for each document. Words meet their counts by a
-64-bit hash of their bytes.
+64-bit hash of their bytes. A tokenizer for which white space does not end pre-tokens is refused.
 
-Null and empty texts have 0 tokens. Repeated rows, null and repeated ids are counted row by row.
+Null and empty texts have 0 tokens. Repeated rows, null and repeated ids are counted row by row. Very long
+texts are counted whole; an empty table stays empty. Other columns are not needed and may have any name.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from . import words
 from .shared import bounded_batches, parts, saved, text_bytes
 
 BROADCAST_WORDS = 2_000_000
+#: What ends a word.
+SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 OVER = 2048
 FLUSH_WORDS = 400_000
 
@@ -63,6 +66,19 @@ class PreTokens:
     def pieces(self, pre_token: str) -> int:
         return 1 if pre_token in self.special else len(self.tokenizer.model.tokenize(pre_token))
 
+    def verify(self) -> None:
+        """Raises unless texts of several words have the tokens of their words: with every kind of white space
+        that ends words here, alone and repeated, beside letters, digits, signs and special strings."""
+        if any(set(s) & set(SPACE) for s in self.special):
+            raise ValueError("a special string of the tokenizer holds white space")
+        sides = ["word", "Word", "don't", "12", "3.5", ",", "--", "(a", "é", "日本", *self.special]
+        texts = [f"{a}{gap}{b}" for gap in (*SPACE, "  ", " \n", "\n\n\n", "\t ") for a in sides for b in sides]
+        texts += [f"{gap}{a}{gap}" for gap in (" ", "\n", "  ") for a in sides]
+        for text in texts:
+            whole = len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            if whole != sum(self.pieces(p) for word in re.split(f"[{SPACE}]+", text) if word for p in self.of(word)):
+                raise ValueError(f"white space does not end pre-tokens of this tokenizer: {text!r}")
+
 
 def _distinct(slices: int):
     """Each distinct word of a partition and how often it occurs, packed by slices of its hash."""
@@ -192,6 +208,7 @@ def count_tokens(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> Dat
     """doc_id, n_bytes, n_tokens and over_limit of every row of `docs` (doc_id, text)."""
     spark = docs.sparkSession
     bounded_batches(spark)
+    PreTokens(path).verify()
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     counts = word_counts(docs, path)
     magnitudes = {r[0]: r[1] for r in counts.groupBy(F.floor(F.log2("times")).cast("int")).count().collect()}
@@ -215,4 +232,5 @@ def count_tokens(docs: DataFrame, path: str, most: int = BROADCAST_WORDS) -> Dat
 
 
 def op7_token_counts(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns for every row of documents."""
     return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_path())

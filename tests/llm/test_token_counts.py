@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -27,3 +28,14 @@ def test_words_beyond_the_broadcast_are_joined(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id string, text string")
     assert token_counts.count_tokens(docs, token_counts.tokenizer_path()).collect() == []
+
+
+def test_a_tokenizer_that_joins_white_space_with_words_is_refused(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    token_counts.PreTokens(token_counts.tokenizer_path()).verify()
+    other = Tokenizer(models.WordLevel({"[UNK]": 0}, unk_token="[UNK]"))
+    other.pre_tokenizer = pre_tokenizers.Metaspace()
+    other.save(str(tmp_path / "other.json"))
+    with pytest.raises(ValueError):
+        token_counts.PreTokens(str(tmp_path / "other.json")).verify()
