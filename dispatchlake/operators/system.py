@@ -55,6 +55,36 @@ def variance_rate(outcomes: DataFrame) -> DataFrame:
     return outcomes.agg(F.count(F.lit(1)).alias("groups"), F.try_divide(bad.cast("double"), F.count(F.lit(1))).alias("rate"))
 
 
+def replication_lag(log: DataFrame, by: str) -> DataFrame:
+    """By source and day: how far replicas were behind their primary, on average and at most. log: by, day, written_at and
+    applied_at; what has not been applied yet counts up to the newest that has."""
+    newest = log.groupBy(by).agg(F.max("applied_at").alias("_newest"))
+    lag = F.greatest(F.lit(0), F.coalesce("applied_at", "_newest") - F.col("written_at"))
+    joined = log.join(newest, by).withColumn("_lag", lag)
+    return joined.groupBy(by, "day").agg(F.count(F.lit(1)).alias("writes"), F.avg("_lag").alias("mean"), F.max("_lag").alias("most"))
+
+
+def utilisation(samples: DataFrame, by: list[str]) -> DataFrame:
+    """Used of what there is, by component, resource and day: on average over the samples and at their peak. A
+    component without capacity has no ratio."""
+    share = F.try_divide(F.col("used").cast("double"), F.col("capacity"))
+    total = F.try_divide(F.sum(F.when(F.col("capacity") > 0, F.col("used"))).cast("double"), F.sum(F.when(F.col("capacity") > 0, F.col("capacity"))))
+    return samples.groupBy(*by).agg(F.count(F.lit(1)).alias("samples"), total.alias("ratio"), F.max(share).alias("peak"))
+
+
+def accesses(audit: DataFrame, by: list[str]) -> DataFrame:
+    """Queries and exports, and the users behind them, of what the audit log has."""
+    return audit.groupBy(*by).agg(F.count_if(F.col("action") == "query").alias("queries"), F.count_if(F.col("action") == "export").alias("exports"), F.count_distinct("user").alias("users"))
+
+
+def workload(calls: DataFrame, incidents: DataFrame, by: list[str]) -> DataFrame:
+    """Calls answered and incidents taken in by a person and period. calls, incidents: `by`, a row each."""
+    a = calls.groupBy(*by).agg(F.count(F.lit(1)).alias("calls"))
+    b = incidents.groupBy(*by).agg(F.count(F.lit(1)).alias("incidents"))
+    both = a.join(b, by, "full_outer").fillna(0, ["calls", "incidents"])
+    return both.withColumn("handled", F.col("calls") + F.col("incidents"))
+
+
 def state_times(changes: DataFrame, agent: str, at: str, state: str) -> DataFrame:
     """Seconds in each state: from a change to the agent's next one. A state that is still open counts nothing."""
     until = F.lead(at).over(Window.partitionBy(agent).orderBy(at, "seq"))

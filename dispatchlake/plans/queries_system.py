@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import system
-from .adapter import BASE, all_calls, table
+from .adapter import BASE, all_calls, legs, table
 from .queries_incidents import _TREE, _dispatches, _incidents, _turnouts
 from .registry import query
 
@@ -100,3 +100,34 @@ def _(spark, sf):
 def _(spark, sf):
     days = _dispatches(spark, sf).groupBy("agency", F.floor(F.col("dispatched_at") / 86400).alias("day")).agg(F.bool_or("is_initial").alias("busy"))
     return days.groupBy("agency").agg(F.count(F.lit(1)).alias("days"), F.try_divide(F.count_if(~F.col("busy")).cast("double"), F.count(F.lit(1))).alias("availability"))
+
+
+@query("metric_s04_replication_lag", """WITH log AS (SELECT user_id % 10 AS source, ts::DATE AS day, floor(epoch(ts))::BIGINT AS w, CASE WHEN event_id % 9 <> 0 THEN floor(epoch(ts))::BIGINT + event_id % 61 END AS a FROM events),
+  m AS (SELECT source, max(a) AS newest FROM log GROUP BY 1) SELECT source, day, count(*) AS writes, avg(greatest(0, coalesce(a, newest) - w)) AS mean, max(greatest(0, coalesce(a, newest) - w)) AS most FROM log JOIN m USING (source) GROUP BY 1, 2""")
+def _(spark, sf):
+    at = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    log = table(spark, sf, "events").select((F.col("user_id") % 10).alias("source"), F.to_date("ts").alias("day"), at.alias("written_at"), F.when(F.col("event_id") % 9 != 0, at + F.col("event_id") % 61).alias("applied_at"))
+    return system.replication_lag(log, "source")
+
+
+@query("metric_s11_utilisation", """SELECT l_shipdate::DATE AS day, l_linenumber AS component, l_returnflag AS resource, count(*) AS samples,
+  sum(l_quantity::BIGINT) FILTER (WHERE l_orderkey % 17 <> 0)::DOUBLE / sum(CASE WHEN l_orderkey % 17 <> 0 THEN 64 END) AS ratio, max(CASE WHEN l_orderkey % 17 <> 0 THEN l_quantity::BIGINT / 64.0 END)::DOUBLE AS peak FROM lineitem GROUP BY 1, 2, 3""")
+def _(spark, sf):
+    capacity = F.when(F.col("l_orderkey") % 17 != 0, 64).otherwise(0)
+    samples = table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("day"), F.col("l_linenumber").alias("component"), F.col("l_returnflag").alias("resource"), F.col("l_quantity").cast("long").alias("used"), capacity.alias("capacity"))
+    return system.utilisation(samples, ["day", "component", "resource"])
+
+
+@query("metric_s12_queries_and_exports", """SELECT ts::DATE AS day, event_type AS object, count(*) FILTER (WHERE event_id % 8 <> 0) AS queries, count(*) FILTER (WHERE event_id % 8 = 0) AS exports, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2""")
+def _(spark, sf):
+    audit = table(spark, sf, "events").select(F.to_date("ts").alias("day"), F.col("event_type").alias("object"), F.col("user_id").alias("user"), F.when(F.col("event_id") % 8 == 0, "export").otherwise("query").alias("action"))
+    return system.accesses(audit, ["day", "object"])
+
+
+@query("metric_p01_workload", f"""{BASE}, a AS (SELECT device_no AS agent, date_key // 100 AS month, count(*) AS calls FROM legs WHERE device_type_code = 2 AND call_begin IS NOT NULL GROUP BY 1, 2),
+  b AS (SELECT o_custkey AS agent, strftime(o_orderdate, '%Y%m')::INTEGER AS month, count(*) AS incidents FROM orders GROUP BY 1, 2)
+  SELECT agent, month, coalesce(calls, 0) AS calls, coalesce(incidents, 0) AS incidents, coalesce(calls, 0) + coalesce(incidents, 0) AS handled FROM a FULL JOIN b USING (agent, month)""")
+def _(spark, sf):
+    answered = legs(spark, sf).filter("device_type_code = 2 and call_begin is not null").select(F.col("device_no").alias("agent"), F.floor(F.col("date_key") / 100).cast("int").alias("month"))
+    taken = table(spark, sf, "orders").select(F.col("o_custkey").alias("agent"), F.date_format("o_orderdate", "yyyyMM").cast("int").alias("month"))
+    return system.workload(answered, taken, ["agent", "month"])

@@ -517,6 +517,30 @@ _RANGE = "(date_key > 19971227)::INTEGER + (date_key > 20001223)::INTEGER"
 _VOLUME_CTE = "v AS (SELECT date_key, count(*) FILTER (WHERE direction = 'inbound' AND is_complete) AS offered, count(*) FILTER (WHERE direction = 'inbound' AND call_result = 'answered') AS answered FROM calls GROUP BY 1)"
 
 
+@query("qry_08_metadata", f"""{BASE}, v AS (SELECT {_RANGE} AS i, count(*) FILTER (WHERE date_key % 3 = 0 AND NOT is_complete) AS in_progress FROM calls GROUP BY 1),
+  u AS (SELECT {_RANGE} AS i, bool_or(device_no % 5 = 0) AS has_unlinked FROM legs WHERE device_type_code = 2 GROUP BY 1)
+  SELECT [DATE '1995-01-01', DATE '1997-12-28', DATE '2000-12-24'][i + 1] AS first, coalesce(in_progress, 0)::BIGINT AS in_progress, coalesce(has_unlinked, false) AS has_unlinked FROM range(3) t(i) LEFT JOIN v USING (i) LEFT JOIN u USING (i)""")
+def _(spark, sf):
+    """Metadata of requests for the volume mart and for the agents' mart, in which every fifth agent is unlinked; a third of
+    the days is provisional."""
+    day = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")
+    version = F.when(F.col("date_key") % 3 == 0, 0).otherwise(1)
+    known = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("agent_no")).filter("agent_no % 5 <> 0")
+    volume = marts.volume(all_calls(spark, sf)).withColumns({"day": day, "close_version": version})
+    handling = marts.agent_handling(legs(spark, sf), known).withColumns({"day": day, "close_version": version})
+    spine = periods.spine(spark, str(_RANGES[0][0]), str(_RANGES[-1][1])).withColumn("close_version", F.when(F.date_format("day", "yyyyMMdd").cast("int") % 3 == 0, 0).otherwise(1))
+    out = None
+    for first, last in _RANGES:
+        own = []
+        for code, mart, rows in (("M-C01", "calls_day_volume", volume), ("M-C09", "legs_day_agent_handling", handling)):
+            record = spine.select(F.lit(mart).alias("mart"), "day", "close_version", F.lit(1).cast("long").alias("publication_seq"))
+            plan = semantic.plan(semantic.Request((code,), first, last), semantic.Principal("u", ("admin",)))
+            own.append(semantic.metadata(plan, rows, record))
+        both = own[0].select("in_progress").crossJoin(own[1].select("has_unlinked")).select(F.lit(first).alias("first"), "in_progress", "has_unlinked")
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
 @query("qry_06_by_month", f"{BASE}, {_VOLUME_CTE} SELECT date_trunc('month', {_DAY})::DATE AS period, sum(offered)::DOUBLE AS \"M-C01\", 1 AS \"M-C01_version\" FROM v GROUP BY 1, {_RANGE}")
 def _(spark, sf):
     return _request(spark, sf, ["M-C01"], granularity="month")

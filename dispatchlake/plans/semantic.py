@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.periods import GRANULARITIES, period
-from .marts import MARTS, Mart
+from .marts import MARTS, UNLINKED, Mart
 
 MAX_DAYS = 1098
 MAX_ROWS = 10_000
@@ -183,8 +183,8 @@ def choose_versions(record: DataFrame, mart: str, first: date, last: date, versi
     return joined.select("day", F.col("v.close_version").alias("close_version"), F.col("v.publication_seq").alias("publication_seq"), F.when(F.col("v").isNull(), absent).when(old, "superseded").otherwise("published").alias("status"))
 
 
-def execute(p: Plan, rows: DataFrame, record: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(result rows, the versions chosen). rows: day, close_version and the mart's columns."""
+def selected(p: Plan, rows: DataFrame, record: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the rows that a request may see of the chosen versions, those versions)."""
     request = p.request
     chosen = choose_versions(record, p.mart.name, request.first, request.last, request.version)
     # at most MAX_DAYS rows; the range on day prunes the partitions
@@ -194,6 +194,33 @@ def execute(p: Plan, rows: DataFrame, record: DataFrame) -> tuple[DataFrame, Dat
         used = used.filter(F.col(column).cast("string") == member)
     for column, members in request.filters.items():
         used = used.filter(F.col(column).cast("string").isin(*members))
+    return used, chosen
+
+
+def metadata(p: Plan, rows: DataFrame, record: DataFrame) -> DataFrame:
+    """One row over the rows that the request may see: in_progress (incomplete calls on provisional days; null where the
+    mart has none) and has_unlinked (whether a member is unlinked; null where no dimension can be)."""
+    used, _ = selected(p, rows, record)
+    open_ = F.coalesce(F.sum(F.when(F.col("close_version") == 0, F.col("in_progress"))), F.lit(0)) if "in_progress" in rows.columns else F.lit(None)
+    linked = [d for d in ("queue", "agent") if d in rows.columns]
+    unlinked = F.coalesce(F.bool_or(sum((F.when(F.col(d) == UNLINKED, 1).otherwise(0) for d in linked), F.lit(0)) > 0), F.lit(False)) if linked else F.lit(None)
+    return used.agg(open_.cast("long").alias("in_progress"), unlinked.cast("boolean").alias("has_unlinked"))
+
+
+@dataclass(frozen=True)
+class Availability:
+    """Years in which a metric is not available, and the column that limits it."""
+
+    metric: str
+    year: int
+    state: str
+    limiting_column: str | None = None
+
+
+def execute(p: Plan, rows: DataFrame, record: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(result rows, the versions chosen). rows: day, close_version and the mart's columns."""
+    request = p.request
+    used, chosen = selected(p, rows, record)
     by = ([period(F.col("day"), request.granularity).alias("period")] if request.granularity else []) + [F.col(d) for d in request.dimensions]
     values, versions = [], []
     for code in request.metrics:
@@ -213,7 +240,10 @@ def execute(p: Plan, rows: DataFrame, record: DataFrame) -> tuple[DataFrame, Dat
     return (out.orderBy(*out.columns[: len(by)]) if by else out.filter(F.coalesce(*(F.col(f"`{c}`") for c in request.metrics)).isNotNull())), chosen
 
 
-def answer(request: Request, principal: Principal, rows: Callable[[str], DataFrame], record: DataFrame, audit: Callable[[dict], None], metrics: tuple[Metric, ...] = CATALOG, marts: dict[str, Mart] = MARTS) -> tuple[list, dict]:
+def answer(
+    request: Request, principal: Principal, rows: Callable[[str], DataFrame], record: DataFrame, audit: Callable[[dict], None],
+    metrics: tuple[Metric, ...] = CATALOG, marts: dict[str, Mart] = MARTS, availability: tuple[Availability, ...] = (),
+) -> tuple[list, dict]:
     """(rows, meta). The audit entry is written before anything is returned; if that fails nothing is."""
     try:
         p = plan(request, principal, metrics, marts)
@@ -225,7 +255,8 @@ def answer(request: Request, principal: Principal, rows: Callable[[str], DataFra
     if len(found) > MAX_ROWS:
         _audit(audit, principal, request, "result_too_large", 0)
         raise ERRORS["result_too_large"]()
-    meta = describe(chosen, found)
+    meta = describe(chosen, found, p, availability)
+    meta |= metadata(p, rows(p.mart.name), record).first().asDict()
     meta["cache_key"] = cache_key(p, max((r["publication_seq"] or 0 for r in meta.pop("_days")), default=0))
     _audit(audit, principal, request, "ok", len(found))
     return found, meta
@@ -238,14 +269,28 @@ def _audit(audit: Callable[[dict], None], principal: Principal, request: Request
         raise ERRORS["audit_failed"]() from error
 
 
-def describe(chosen: DataFrame, found: list) -> dict:
-    """Day states and why a result is empty. The range has at most MAX_DAYS days."""
-    days = chosen.collect()
+def describe(chosen: DataFrame, found: list, p: Plan | None = None, availability: tuple[Availability, ...] = ()) -> dict:
+    """Day states, why a result is empty, and of a plan what was asked of which versions, what limits it, and the scope.
+    The range has at most MAX_DAYS days."""
+    days = sorted(chosen.collect(), key=lambda d: d["day"])
     states = {s: sum(d["status"] == s for d in days) for s in ("published", "not_built", "not_closed", "version_not_found", "superseded")}
     empty = None
     if not found:
         empty = "no_rows_in_scope" if states["published"] else next((s for s in states if states[s]), "no_days")
-    return {"states": states, "has_provisional": any(d["close_version"] == 0 for d in days), "empty_reason": empty, "data_as_of": max((d["day"] for d in days if d["status"] == "published"), default=None), "_days": days}
+    of_plan = {}
+    if p is not None:
+        limits = [a for a in availability if a.metric in p.request.metrics and a.state != "available" and p.request.first.year <= a.year <= p.request.last.year]
+        if empty and limits:
+            empty = "out_of_availability"
+        versions = {code: [{"version": m.version, "from": str(a), "to": str(b)} for a, b, m in parts] for code, parts in p.segments.items()}
+        of_plan = {
+            "table": p.mart.name, "data_version": p.request.version, "metrics": versions, "row_scope": dict(p.row_filter),
+            "availability": [{"metric": a.metric, "year": a.year, "state": a.state, "limiting_column": a.limiting_column} for a in sorted(limits, key=lambda a: (a.metric, a.year))],
+            "days": [{"day": str(d["day"]), "close_version": d["close_version"], "status": d["status"]} for d in days],
+            "unclosed_dates": [str(d["day"]) for d in days if d["status"] == "not_closed"],
+            "publication_seq": max((d["publication_seq"] for d in days if d["publication_seq"] is not None), default=None),
+        }
+    return of_plan | {"states": states, "has_provisional": any(d["close_version"] == 0 for d in days), "empty_reason": empty, "data_as_of": max((d["day"] for d in days if d["status"] == "published"), default=None), "_days": days}
 
 
 def cache_key(p: Plan, publication_seq: int) -> str:
