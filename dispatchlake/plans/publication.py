@@ -64,10 +64,14 @@ def corrections(record: DataFrame, mart: str, published: DataFrame, computed: Da
     closed = closed_days(record, mart)
     last = closed.agg(F.max("day").alias("_last"))
     recent = closed.crossJoin(F.broadcast(last)).filter(F.col("day") > F.date_sub("_last", depth)).drop("_last")
+    # at most `depth` days: as literals they prune the partitions that are read
+    days = [r["day"] for r in recent.select("day").collect()]
     columns = ["day", *(c for c in computed.columns if c != "day")]
-    old = published.join(F.broadcast(recent), ["day", "close_version"], "left_semi").select(*columns)
-    new = computed.join(F.broadcast(recent), "day", "left_semi").select(*columns)
-    changed = old.exceptAll(new).unionByName(new.exceptAll(old)).select("day").distinct()
+    old = published.filter(F.col("day").isin(days)).join(F.broadcast(recent), ["day", "close_version"], "left_semi")
+    new = computed.filter(F.col("day").isin(days))
+    # equal multisets cancel out, each side being read once
+    both = old.select(*columns, F.lit(1).alias("_side")).unionByName(new.select(*columns, F.lit(-1).alias("_side")))
+    changed = both.groupBy(*columns).agg(F.sum("_side").alias("_left")).filter("_left <> 0").select("day").distinct()
     return recent.join(changed, "day", "left_semi").select("day", (F.col("close_version") + 1).alias("close_version"))
 
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
+from ..functions import periods
 from ..operators import batch_checks, incremental, intervals, quality
+from ..streaming import windows
+from . import publication, semantic
 from .adapter import BASE, LEG, legs, observed_legs, table
 from .registry import query
 
@@ -135,3 +140,93 @@ def _(spark, sf):
     rows = F.inline(F.array(*(F.struct(F.lit(m).alias("mark"), F.lit(a).cast("timestamp").alias("valid_from"), F.lit(b).cast("timestamp").alias("valid_to")) for m, a, b in _MARKS)))
     marks = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("device_no"), rows).filter("(device_no + mark) % 3 <> 0")
     return intervals.contained_or_last_ended(points, marks, "device_no", "wait_begin", ["mark"], LEG).select(*LEG, "in_mark", "ended_mark")
+
+
+# --- windows, days and publication from what the tables hold ----------------------------------------
+
+
+@query("str_01_slices_of_events", """WITH b AS (SELECT floor(epoch(min(ts)))::BIGINT AS a, floor(epoch(max(ts)))::BIGINT AS b FROM events), s AS (SELECT unnest(range(a, b, 1200)) AS s, b FROM b)
+  SELECT CASE WHEN least(s + 1200, b) - s >= 600 THEN s ELSE b - 600 END AS slice_from, least(s + 1200, b) AS slice_to FROM s""")
+def _(spark, sf):
+    at = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    first, last = table(spark, sf, "events").agg(F.min(at), F.max(at)).first()
+    return spark.createDataFrame(windows.slices(first, last, 1200, 600), "slice_from long, slice_to long")
+
+
+@query("dq_01_columns_of_orders", """SELECT coalesce(m.name, c.name) AS name, CASE WHEN m.name IS NULL THEN 'missing' ELSE 'extra' END AS finding FROM (SELECT column_name AS name FROM information_schema.columns WHERE table_name = 'orders') m
+  FULL JOIN (SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_clerk_id', 'o_orderdate']) AS name) c USING (name) WHERE m.name IS NULL OR c.name IS NULL""")
+def _(spark, sf):
+    names = lambda n: spark.createDataFrame([(x,) for x in n], "name string")
+    return quality.columns_match(names(table(spark, sf, "orders").columns), names(["o_orderkey", "o_custkey", "o_orderstatus", "o_clerk_id", "o_orderdate"]), "name")
+
+
+_TODAY = "2001-07-15"
+#: Days of orders are closed while all their orders are finished, versions by how often they were corrected.
+_CLOSED = f"WITH days AS (SELECT o_orderdate::DATE AS day, max(o_orderkey % 3) AS top FROM orders GROUP BY 1), closed AS (SELECT day, top FROM days WHERE day < DATE '{_TODAY}' - 12)"
+
+
+def _closed(spark, sf):
+    """A record of the days that have orders: versions 0 up to the largest of o_orderkey % 3."""
+    days = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.max(F.col("o_orderkey") % 3).cast("int").alias("top"))
+    days = days.filter(F.col("day") < F.date_sub(F.lit(_TODAY).cast("date"), 12))
+    return days.select(F.lit("m").alias("mart"), "day", F.explode(F.sequence(F.lit(0), "top")).alias("close_version"), F.lit(1).cast("long").alias("publication_seq"), F.lit(1).cast("long").alias("row_count"))
+
+
+_OPEN = f"{_CLOSED}, ends AS (SELECT max(day) + 1 AS a FROM closed WHERE top >= 1), open AS (SELECT unnest(generate_series(a, DATE '{_TODAY}', INTERVAL 1 DAY))::DATE AS day FROM ends)"
+
+
+def _open(spark, sf):
+    return publication.open_days(spark, _closed(spark, sf), "m", F.lit("1995-01-01").cast("date"), _TODAY)
+
+
+@query("pub_01_open_days_after_orders", f"{_OPEN} SELECT day FROM open")
+def _(spark, sf):
+    return _open(spark, sf)
+
+
+@query("pub_02_intraday_after_orders", f"{_OPEN} SELECT day, 0 AS close_version FROM open WHERE day > DATE '{_TODAY}' - 7")
+def _(spark, sf):
+    return publication.intraday(_open(spark, sf), _TODAY)
+
+
+@query("dq_17_closing_behind_orders", f"{_CLOSED} SELECT max(day) AS last_closed FROM closed WHERE top >= 1")
+def _(spark, sf):
+    return quality.closing_behind(_closed(spark, sf), "m", F.lit(_TODAY).cast("date"))
+
+
+#: A source day is swept by the run of its lines: it failed where a line came back in the day, and waits on open ones.
+_SWEPT = f"""{_OPEN}, runs AS (SELECT l_shipdate::DATE AS day, bool_or(l_orderkey % 701 = 0) AS failed, bool_and(l_orderkey % 709 <> 0) AS settled FROM lineitem GROUP BY 1),
+swept AS (SELECT day FROM runs WHERE NOT failed AND settled),
+final AS (SELECT day FROM open o WHERE (day - 1 IN (SELECT day FROM swept)) AND (day IN (SELECT day FROM swept)))"""
+
+
+def _swept(spark, sf):
+    lines = table(spark, sf, "lineitem").groupBy(F.to_date("l_shipdate").alias("source_day")).agg(F.bool_or(F.col("l_orderkey") % 701 == 0).alias("failed"), F.bool_and(F.col("l_orderkey") % 709 != 0).alias("settled"))
+    lines = lines.withColumn("run_id", F.col("source_day").cast("string"))
+    sweeps = lines.select("source_day", "run_id", F.when(F.col("failed"), "failed").otherwise("succeeded").alias("outcome"))
+    batches = lines.select("run_id", F.lit(1).alias("batch_seq"), "settled")
+    days = _open(spark, sf)
+    return days, publication.final_days(days, sweeps, batches, F.lit("1990-01-01").cast("date"), "UTC", "Asia/Riyadh")
+
+
+@query("pub_03_final_days_of_lines", f"{_SWEPT} SELECT day FROM final")
+def _(spark, sf):
+    return _swept(spark, sf)[1]
+
+
+@query("pub_04_closable_days_of_lines", f"{_SWEPT} SELECT day, 1 AS close_version FROM final WHERE day < coalesce((SELECT min(day) FROM open WHERE day NOT IN (SELECT day FROM final)), DATE '9999-12-31')")
+def _(spark, sf):
+    return publication.closable(*_swept(spark, sf))
+
+
+@query("qry_04_versions_of_orders", f"""{_CLOSED}, asked AS (SELECT unnest(generate_series(DATE '1999-01-01', DATE '2001-07-31', INTERVAL 1 DAY))::DATE AS day)
+  SELECT a.day, CASE WHEN top >= 1 THEN 1 END AS close_version, CASE WHEN top IS NULL THEN 'not_built' WHEN top = 0 THEN 'not_closed' ELSE 'published' END AS status FROM asked a LEFT JOIN closed USING (day)""")
+def _(spark, sf):
+    return semantic.choose_versions(_closed(spark, sf), "m", date(1999, 1, 1), date(2001, 7, 31), "as_closed").select("day", "close_version", "status")
+
+
+@query("str_13_current_states", "SELECT user_id, event_type AS state, ts AS since FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def _(spark, sf):
+    from ..streaming.live import current
+
+    return current(table(spark, sf, "events").select("user_id", F.col("event_type").alias("state"), F.col("ts").alias("since"), F.col("event_id").alias("seq")), "user_id", "since", "seq").select("user_id", "state", "since")

@@ -24,9 +24,17 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+REGISTRY = "model string, run_id string, batch_seq long, buckets array<int>"
+
+
 @dataclass
 class Loader:
-    """Raw and core tables under `path`. Every epoch of the stream is one batch."""
+    """Raw and core tables under `path`. Every epoch of the stream is one batch.
+
+    Both tables lie in buckets of the key's hash. An epoch reads, of what is stored, only the buckets that its keys fall
+    into, by the content hashes that are stored with the rows, and writes each of their core buckets anew under its own
+    number; the registry says which number of a bucket holds. So an epoch costs what its buckets hold, not all that was
+    ever loaded, and one that is repeated overwrites what it had begun to write."""
 
     spark: SparkSession
     path: str
@@ -35,33 +43,70 @@ class Loader:
     content: list[str]
     rules: dict[str, Column]
     model: str = "core"
+    buckets: int = 256
+
+    def _registry(self) -> DataFrame:
+        return _read(self.spark, f"{self.path}/registry", REGISTRY).filter(F.col("model") == self.model)
+
+    def _raw(self, schema, buckets: list[int]) -> DataFrame:
+        raw = _read(self.spark, f"{self.path}/raw", schema)
+        return raw.filter(F.col("bucket").isin(buckets))
+
+    def _core(self, schema, buckets: list[int] | None = None) -> DataFrame | None:
+        """The rows of the buckets' newest numbers; None where there is none yet."""
+        each = self._registry().select(F.explode("buckets").alias("bucket"), F.col("batch_seq").alias("epoch"))
+        each = each if buckets is None else each.filter(F.col("bucket").isin(buckets))
+        # one row for each bucket
+        newest = {r["bucket"]: r["epoch"] for r in each.groupBy("bucket").agg(F.max("epoch").alias("epoch")).collect()}
+        if not newest:
+            return None
+        by_epoch: dict[int, list[int]] = {}
+        for bucket, epoch in newest.items():
+            by_epoch.setdefault(epoch, []).append(bucket)
+        holds = None
+        for epoch, own in by_epoch.items():
+            one = (F.col("epoch") == epoch) & F.col("bucket").isin(own)
+            holds = one if holds is None else holds | one
+        return self.spark.read.schema(schema).parquet(f"{self.path}/core").filter(holds)
 
     def epoch(self, rows: DataFrame, epoch: int) -> None:
-        registry_schema = "model string, run_id string, batch_seq long"
-        registry = _read(self.spark, f"{self.path}/registry", registry_schema)
-        if not registry.filter((F.col("model") == self.model) & (F.col("batch_seq") == epoch)).isEmpty():
+        if not self._registry().filter(F.col("batch_seq") == epoch).isEmpty():
             return
-        batch = rows.withColumns({"run_id": F.lit("stream"), "batch_seq": F.lit(epoch).cast("long")})
-        batch = batch.persist()
+        batch = rows.withColumns({
+            "run_id": F.lit("stream"), "batch_seq": F.lit(epoch).cast("long"),
+            "content_hash": F.xxhash64(F.to_json(F.struct(*self.content), {"ignoreNullFields": "false"})),
+            "bucket": F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int"),
+        }).persist()
         try:
             found = quality.verdicts(quality.batch_findings(batch, self.rules), list(self.rules)) if self.rules else None
             state = "accepted" if found is None or found.isEmpty() else found.first()["state"]
+            touched: list[int] = []
             if state == "accepted":
-                raw = _read(self.spark, f"{self.path}/raw", batch.schema)
+                # at most `buckets` numbers
+                touched = sorted(r["bucket"] for r in batch.select("bucket").distinct().collect())
                 none = self.spark.createDataFrame([], "run_id string, batch_seq long, state string")
-                fresh = incremental.new_rows(batch.withColumn("content_hash", F.xxhash64(F.to_json(F.struct(*self.content), {"ignoreNullFields": "false"}))), raw.withColumn("content_hash", F.xxhash64(F.to_json(F.struct(*self.content), {"ignoreNullFields": "false"}))), none, self.key)
-                fresh.drop("content_hash").write.mode("append").parquet(f"{self.path}/raw")
+                stored = self._raw(batch.schema, touched).filter(F.col("batch_seq") != epoch)
+                fresh = incremental.new_rows(batch, stored, none, self.key)
+                # dynamic: a repeated epoch overwrites its own raw rows
+                self._write(fresh, "raw", ["batch_seq", "bucket"])
+                core, schema = self._core(batch.withColumn("epoch", F.lit(0).cast("long")).schema, touched), batch.columns
+                every = fresh if core is None else core.select(*schema).unionByName(fresh)
+                newest = incremental.newest(every, self.key, self.observed, "batch_seq").withColumn("epoch", F.lit(epoch).cast("long"))
+                self._write(newest, "core", ["epoch", "bucket"])
             else:
                 found.select("run_id", "batch_seq", "reason").write.mode("append").parquet(f"{self.path}/quarantine")
             # registered last: a crash before this repeats the epoch
-            self.spark.createDataFrame([(self.model, "stream", epoch)], registry_schema).write.mode("append").parquet(f"{self.path}/registry")
+            self.spark.createDataFrame([(self.model, "stream", epoch, touched)], REGISTRY).write.mode("append").parquet(f"{self.path}/registry")
         finally:
             batch.unpersist()
 
+    def _write(self, rows: DataFrame, table: str, by: list[str]) -> None:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(f"{self.path}/{table}")
+
     def core(self) -> DataFrame:
         """The newest observation of each key of what was accepted."""
-        raw = self.spark.read.parquet(f"{self.path}/raw")
-        return incremental.newest(raw, self.key, self.observed, "batch_seq")
+        schema = self.spark.read.parquet(f"{self.path}/core").schema
+        return self._core(schema).drop("epoch", "bucket", "content_hash")
 
     def run(self, stream: DataFrame, checkpoint: str) -> None:
         """Everything that is there now, then stop."""

@@ -160,7 +160,7 @@ def test_controlled_sql(spark):
     spark.range(3).createOrReplaceTempView("allowed_view")
     spark.range(3).createOrReplaceTempView("secret_view")
     assert semantic.controlled_sql(spark, "SELECT count(*) AS n FROM allowed_view", frozenset({"allowed_view"})).first()[0] == 3
-    for text in ("DROP VIEW allowed_view", "SELECT * FROM secret_view", "SELECT 1; SELECT 2", "WITH allowed AS (SELECT * FROM secret_view) SELECT * FROM allowed"):
+    for text in ("DROP VIEW allowed_view", "SELECT * FROM secret_view", "SELECT 1; SELECT 2", "WITH allowed AS (SELECT * FROM secret_view) SELECT * FROM allowed", "SELECT (SELECT max(id) FROM secret_view) AS m FROM allowed_view", "SELECT * FROM parquet.`/tmp/x`", "WITH secret_view AS (SELECT 1 AS id) SELECT * FROM secret_view", "WITH a AS (SELECT 1 AS id) INSERT INTO allowed_view SELECT * FROM a"):
         with pytest.raises(semantic.ERRORS["metric_forbidden"]):
             semantic.controlled_sql(spark, text, frozenset({"allowed_view"}))
 
@@ -436,3 +436,65 @@ def test_metadata_says_what_limits_a_result(spark):
     record = record.withColumn("mart", F.lit("calls_day_volume"))
     _, meta = semantic.answer(semantic.Request(("M-C01",), d, d), semantic.Principal("u", ("admin",)), lambda m: volume, record, lambda entry: None)
     assert meta["in_progress"] == 3 and meta["has_unlinked"] is None and meta["unclosed_dates"] == []
+
+
+def test_live_view_keeps_the_newest_state(spark, tmp_path):
+    from dispatchlake.streaming import live
+
+    schema = "agent long, state string, at long, seq long"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    parts = [[(1, "ready", 10, 1), (2, "busy", 10, 2)], [(1, "busy", 20, 3), (3, "off", 5, 4)], [(1, "late", 15, 5), (2, "ready", 10, 6)]]
+    query = live.view(stream, "agent", "at", "seq", "live_states", "0 seconds")
+    try:
+        for part in parts:
+            spark.createDataFrame(part, schema).write.mode("append").parquet(str(tmp_path / "in"))
+            query.processAllAvailable()
+        got = live.snapshot(spark, "live_states", "agent", "at", "seq").collect()
+    finally:
+        query.stop()
+    assert sorted((r["agent"], r["state"], r["at"]) for r in got) == [(1, "busy", 20), (2, "ready", 10), (3, "off", 5)]
+    every = spark.createDataFrame(sum(parts, []), schema)
+    assert sorted(map(tuple, live.current(every, "agent", "at", "seq").collect())) == sorted(map(tuple, got))
+
+
+def test_an_epoch_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+    loader = runner.Loader(spark, str(tmp_path), ["k"], "at", ["v"], {}, buckets=16)
+    shape = "k int, v string, at int"
+    model = {}
+    for epoch, rows in enumerate([[(i, f"a{i}", 1) for i in range(40)], [(3, "new", 5), (50, "x", 2)], [(3, "old", 2), (7, "a7", 9)]]):
+        loader.epoch(spark.createDataFrame(rows, shape), epoch)
+        for k, v, at in rows:
+            if k not in model or at > model[k][1]:
+                model[k] = (v, at)
+    told = {r["batch_seq"]: r["buckets"] for r in spark.read.parquet(str(tmp_path / "registry")).collect()}
+    assert len(told[0]) > 10 and len(told[1]) <= 2 and len(told[2]) <= 2
+    # an observation whose content is known is not new, so its later time is not taken
+    model[7] = ("a7", 1)
+    assert {r["k"]: (r["v"], r["at"]) for r in loader.core().collect()} == model
+    assert spark.read.parquet(str(tmp_path / "core")).filter("epoch = 1").select("bucket").distinct().count() == len(told[1])
+    # what a crash had begun to write is written again when the epoch is repeated
+    spark.createDataFrame([(3, "half", 99, "stream", 3, 0, 5)], "k int, v string, at int, run_id string, batch_seq long, content_hash long, bucket int").write.mode("append").partitionBy("batch_seq", "bucket").parquet(str(tmp_path / "raw"))
+    loader.epoch(spark.createDataFrame([(3, "next", 6)], shape), 3)
+    model[3] = ("next", 6)
+    assert {r["k"]: (r["v"], r["at"]) for r in loader.core().collect()} == model
+
+
+def test_live_counts_by_window(spark, tmp_path):
+    schema = "at timestamp, kind string"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "in"))
+    counts = runner.live_counts(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "at", "kind")
+    query = counts.writeStream.outputMode("update").format("memory").queryName("live_counts").start()
+    try:
+        for part in ([("2024-01-01 00:01:00", "a"), ("2024-01-01 00:02:00", "a"), ("2024-01-01 00:07:00", "b")], [("2024-01-01 00:03:00", "a")]):
+            spark.createDataFrame([(a, k) for a, k in part], "at string, kind string").select(F.col("at").cast("timestamp").alias("at"), "kind").write.mode("append").parquet(str(tmp_path / "in"))
+            query.processAllAvailable()
+        got = spark.table("live_counts").groupBy("window", "kind").agg(F.max("n").alias("n")).collect()
+    finally:
+        query.stop()
+    assert sorted((r["kind"], r["n"]) for r in got) == [("a", 3), ("b", 1)]
+
+
+def test_the_dictionary_says_what_a_role_may_ask(spark):
+    told = {d["code"]: d for d in semantic.dictionary(semantic.CATALOG, "agent")}
+    assert told["M-C09"]["allowed"] and not told["M-C01"]["allowed"] and not told["M-C08"]["implemented"]
