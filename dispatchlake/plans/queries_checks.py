@@ -230,3 +230,16 @@ def _(spark, sf):
     from ..streaming.live import current
 
     return current(table(spark, sf, "events").select("user_id", F.col("event_type").alias("state"), F.col("ts").alias("since"), F.col("event_id").alias("seq")), "user_id", "since", "seq").select("user_id", "state", "since")
+
+
+_CONTRACT = {"classes": {"release_cause": {"agent": [0, 4], "caller": [1, 5], "system": [2]}}}
+
+
+@query("prj_11_classes_of_the_contract", "SELECT CASE WHEN o_custkey % 6 IN (0, 4) THEN 'agent' WHEN o_custkey % 6 IN (1, 5) THEN 'caller' WHEN o_custkey % 6 = 2 THEN 'system' ELSE 'unmapped' END AS released_by, count(*) AS n FROM orders GROUP BY 1")
+def _(spark, sf):
+    from ..sources.contracts import at
+
+    classes = F.lit("unmapped")
+    for name, members in at(_CONTRACT, "classes.release_cause").items():
+        classes = F.when((F.col("o_custkey") % 6).isin(members), name).otherwise(classes)
+    return table(spark, sf, "orders").groupBy(classes.alias("released_by")).agg(F.count(F.lit(1)).alias("n"))

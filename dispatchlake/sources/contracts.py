@@ -239,6 +239,42 @@ def overridden(c: Contract, lookback_minutes: int) -> Contract:
     return Contract(**(c.__dict__ | {"lookback_minutes": lookback_minutes}))
 
 
+def at(raw: dict, path: str):
+    """The value at a path like `window.max_span_hours` or `datasets[0].name`, for literals of a plan; None where there
+    is none."""
+    value = raw
+    for name, index in re.findall(r"([^.\[\]]+)|\[(\d+)\]", path):
+        if index:
+            value = value[int(index)] if isinstance(value, list) and int(index) < len(value) else None
+        else:
+            value = value.get(name) if isinstance(value, dict) else None
+    return value
+
+
+#: What each database connector needs besides its address; drivers are the site's to provide.
+DRIVERS = {"pg_read": "org.postgresql.Driver", "mssql_read": "com.microsoft.sqlserver.jdbc.SQLServerDriver"}
+
+
+def options_of(raw: dict, secret) -> tuple[str, bool, dict[str, str]]:
+    """(format, whether it is a stream, options) with which Spark reads a source; `secret(reference)` gives (user,
+    password). A REST source is polled (see `polled`), so it has no reader."""
+    kind = raw.get("connector")
+    if kind in DRIVERS:
+        user, password = secret(at(raw, "auth.obtain.credential_ref"))
+        return "jdbc", False, {"url": at(raw, "endpoint.url"), "dbtable": at(raw, "endpoint.table"), "driver": DRIVERS[kind], "user": user, "password": password, "fetchsize": str(at(raw, "endpoint.fetch_size") or 10_000)}
+    if kind == "kafka_consume":
+        return "kafka", True, {"kafka.bootstrap.servers": at(raw, "endpoint.servers"), "subscribe": at(raw, "endpoint.topic"), "startingOffsets": at(raw, "endpoint.from") or "earliest", "maxOffsetsPerTrigger": str(at(raw, "endpoint.batch_size") or 100_000)}
+    if kind == "file_drop":
+        return "text", False, {}
+    raise ValueError(f"{kind} has no reader of its own")
+
+
+def reader(spark, raw: dict, secret):
+    """A configured reader (a stream reader for a stream): `.load()` it."""
+    kind, stream, options = options_of(raw, secret)
+    return (spark.readStream if stream else spark.read).format(kind).options(**options)
+
+
 def sync(stored: dict[str, tuple[int, str]], new: Contract) -> str:
     """insert, unchanged or update; a lower version, or other content under the same one, is an error."""
     if new.source_id not in stored:

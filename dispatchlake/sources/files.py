@@ -101,6 +101,15 @@ def append_raw(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy("ingest_month").parquet(path)
 
 
+def load_batch(spark: SparkSession, path: str | list[str], contract: Contract, target: str, run_id: str, batch_seq: int, month: str) -> int:
+    """One batch of files appended to raw in a single job, with its run and number; returns its rows. A rejected batch
+    writes nothing. Columns that the contract does not have are left out."""
+    rows = read_csv(spark, path, contract).select(*(F.col(f"`{c}`") for c in contract.columns))
+    tagged = rows.withColumns({"run_id": F.lit(run_id), "batch_seq": F.lit(batch_seq).cast("long"), "ingest_month": F.lit(month)})
+    append_raw(tagged, target)
+    return spark.read.parquet(target).filter((F.col("ingest_month") == month) & (F.col("run_id") == run_id) & (F.col("batch_seq") == batch_seq)).count()
+
+
 def overwrite_partitions(rows: DataFrame, path: str, partitions: list[str]) -> None:
     """Replaces the partitions that `rows` has rows for and leaves the others; `rows` must not read `path`."""
     rows.repartition(*partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)

@@ -498,3 +498,27 @@ def test_live_counts_by_window(spark, tmp_path):
 def test_the_dictionary_says_what_a_role_may_ask(spark):
     told = {d["code"]: d for d in semantic.dictionary(semantic.CATALOG, "agent")}
     assert told["M-C09"]["allowed"] and not told["M-C01"]["allowed"] and not told["M-C08"]["implemented"]
+
+
+def test_paths_readers_and_bulk_loads(spark, tmp_path):
+    raw = {"connector": "pg_read", "endpoint": {"url": "jdbc:postgresql://h/d", "table": "calls", "parts": [{"name": "a"}]}, "auth": {"obtain": {"credential_ref": "calls_user"}}}
+    assert contracts.at(raw, "endpoint.parts[0].name") == "a" and contracts.at(raw, "endpoint.parts[1].name") is None and contracts.at(raw, "gone.too") is None
+    secret = lambda ref: (ref, "pw")
+    kind, stream, options = contracts.options_of(raw, secret)
+    assert (kind, stream, options["user"], options["driver"]) == ("jdbc", False, "calls_user", "org.postgresql.Driver")
+    kind, stream, options = contracts.options_of({"connector": "kafka_consume", "endpoint": {"servers": "k:9092", "topic": "t"}}, secret)
+    assert (kind, stream, options["subscribe"]) == ("kafka", True, "t")
+    with pytest.raises(ValueError):
+        contracts.options_of({"connector": "rest_api"}, secret)
+    (tmp_path / "a.txt").write_text("x\ny\n")
+    assert contracts.reader(spark, {"connector": "file_drop"}, secret).load(str(tmp_path / "a.txt")).count() == 2
+    c = contracts.Contract("s", 1, "file_drop", ("id", "name"), ("id",))
+    (tmp_path / "b.csv").write_text("name,id,more\nx,1,z\ny,2,z\n")
+    (tmp_path / "bad.csv").write_text("name\nx\n")
+    target = str(tmp_path / "raw")
+    assert files.load_batch(spark, str(tmp_path / "b.csv"), c, target, "r", 1, "2026-01") == 2
+    assert files.load_batch(spark, str(tmp_path / "b.csv"), c, target, "r", 2, "2026-01") == 2
+    with pytest.raises(files.Rejected):
+        files.load_batch(spark, str(tmp_path / "bad.csv"), c, target, "r", 3, "2026-01")
+    got = spark.read.parquet(target)
+    assert got.count() == 4 and {(r["id"], r["name"]) for r in got.collect()} == {("1", "x"), ("2", "y")}
