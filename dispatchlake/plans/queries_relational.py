@@ -390,7 +390,7 @@ def _(spark, sf):
 def _(spark, sf):
     from ..operators.calls import recomputed
 
-    return recomputed(legs(spark, sf))
+    return recomputed(legs(spark, sf)).select("call_id", "direction", "date_key", "first_queue", "agent_no", "answered_legs")
 
 
 # --- sorts, limits, sets ---------------------------------------------------------------------------
