@@ -299,6 +299,13 @@ def test_controlled_sql_never_cuts(spark):
     assert semantic.controlled_sql(spark, "SELECT * FROM three_rows WHERE id > 7", views, 3).columns == ["id"]
     with pytest.raises(semantic.ERRORS["result_too_large"]):
         semantic.controlled_sql(spark, "SELECT * FROM three_rows", views, 2)
+    with pytest.raises(semantic.ERRORS["metric_forbidden"]):
+        semantic.controlled_sql(spark, "SELECT * FROM three_rows", views, principal=semantic.Principal("robot", ("admin",), natural=False))
+    spark.range(200_000).createOrReplaceTempView("many_rows")
+    slow = "SELECT count(*) AS n FROM many_rows a JOIN many_rows b ON a.id * b.id % 7 = 3 JOIN three_rows c ON c.id < a.id + b.id"
+    with pytest.raises(semantic.ERRORS["result_too_large"], match="seconds"):
+        semantic.controlled_sql(spark, slow, frozenset({"many_rows", "three_rows"}), seconds=1.5)
+    assert semantic.controlled_sql(spark, "SELECT * FROM three_rows", views).count() == 3
 
 
 def test_files_of_a_drop(spark, tmp_path):
