@@ -195,13 +195,13 @@ def _(spark, sf):
 
 
 #: A source day is swept by the run of its lines: it failed where a line came back in the day, and waits on open ones.
-_SWEPT = f"""{_OPEN}, runs AS (SELECT l_shipdate::DATE AS day, bool_or(l_orderkey % 701 = 0) AS failed, bool_and(l_orderkey % 709 <> 0) AS settled FROM lineitem GROUP BY 1),
+_SWEPT = f"""{_OPEN}, runs AS (SELECT l_shipdate::DATE AS day, bool_or(l_orderkey % 151 = 0) AS failed, bool_and(l_orderkey % 163 <> 0) AS settled FROM lineitem GROUP BY 1),
 swept AS (SELECT day FROM runs WHERE NOT failed AND settled),
 final AS (SELECT day FROM open o WHERE (day - 1 IN (SELECT day FROM swept)) AND (day IN (SELECT day FROM swept)))"""
 
 
 def _swept(spark, sf):
-    lines = table(spark, sf, "lineitem").groupBy(F.to_date("l_shipdate").alias("source_day")).agg(F.bool_or(F.col("l_orderkey") % 701 == 0).alias("failed"), F.bool_and(F.col("l_orderkey") % 709 != 0).alias("settled"))
+    lines = table(spark, sf, "lineitem").groupBy(F.to_date("l_shipdate").alias("source_day")).agg(F.bool_or(F.col("l_orderkey") % 151 == 0).alias("failed"), F.bool_and(F.col("l_orderkey") % 163 != 0).alias("settled"))
     lines = lines.withColumn("run_id", F.col("source_day").cast("string"))
     sweeps = lines.select("source_day", "run_id", F.when(F.col("failed"), "failed").otherwise("succeeded").alias("outcome"))
     batches = lines.select("run_id", F.lit(1).alias("batch_seq"), "settled")
