@@ -12,6 +12,7 @@ from .decontaminate import op6_decontamination
 from .license_scan import op10_license_scan
 from .mixing import op9_mixing
 from .neighbours import op8_neighbours
+from .packing import op12_best_fit_packing
 from .secret_scan import op3_secret_scan
 from .sharding import op4_sharding
 from .similar_sets import op5_ngram_jaccard
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
+    "op12_best_fit_packing": op12_best_fit_packing,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
