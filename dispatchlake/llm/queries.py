@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import license_scan, sharding
 from .decontaminate import op6_decontamination
+from .divergence import op13_source_divergence
 from .license_scan import op10_license_scan
 from .mixing import op9_mixing
 from .neighbours import op8_neighbours
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
     "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -48,6 +50,35 @@ def _templates() -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op13_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+words AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n_lang FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+counts AS (SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(n_lang) AS n FROM kept GROUP BY lang),
+groups AS (
+  SELECT g.lang, g.source, coalesce(sum(c), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN counts USING (lang, source) GROUP BY ALL
+),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c,
+    1 + (1000000000::HUGEINT * (coalesce(c, 0) + 5)) // (g.n + 5 * v)::HUGEINT AS p, 1 + (1000000000::HUGEINT * (n_lang + 5)) // (l.n + 5 * v)::HUGEINT AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts USING (lang, source, term)
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+told AS (
+  SELECT lang, source, 'pair' AS part, item, coalesce(value, 0)::BIGINT AS value FROM pairs LEFT JOIN apart USING (lang, source, item)
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE c > 0 AND p > q
+)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM told)
+WHERE part = 'pair' OR rank <= 50
+""",
     "op10_license_scan": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ALNUM} AS w FROM documents),
 t AS (SELECT *, string_split(x, ' ') AS w FROM (VALUES {_templates()}) AS v(template, label, base, k, x)),
