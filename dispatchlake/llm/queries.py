@@ -17,6 +17,7 @@ from .packing import op12_best_fit_packing
 from .secret_scan import op3_secret_scan
 from .sharding import op4_sharding
 from .similar_sets import op5_ngram_jaccard
+from .spelling import op11_spelling_variants
 from .substring_dedup import op1_substring_dedup
 from .token_counts import op7_token_counts
 from .toxicity import op2_toxicity
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_mixing": op9_mixing,
     "op10_license_scan": op10_license_scan,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_best_fit_packing": op12_best_fit_packing,
     "op13_source_divergence": op13_source_divergence,
 }
@@ -50,6 +52,42 @@ def _templates() -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_spelling_variants": r"""
+WITH RECURSIVE steps AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) AS r(i)
+),
+runs AS (
+  SELECT id, run, count(*) AS n FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+  ) WHERE length(run) >= 7 GROUP BY id, run
+),
+sums AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8)
+  )) AS h FROM (SELECT run, n, hex(id || ':' || run) AS x FROM runs), steps
+),
+k AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM sums
+  ) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+),
+less AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM k)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, k.word, k.n FROM less a JOIN k ON k.word = a.rest
+  UNION SELECT k.word, a.word, a.n FROM less a JOIN k ON k.word = a.rest
+),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM pairs GROUP BY word),
+forms AS (
+  SELECT word, k.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 10 * k.n THEN other END AS form, CASE WHEN other_n >= 10 * k.n THEN other_n END AS form_n
+  FROM k LEFT JOIN best USING (word)
+),
+chain AS (
+  SELECT word, word AS place FROM forms UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.place WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.place AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain c USING (word) JOIN forms e ON e.word = c.place AND e.form IS NULL
+""",
     "op13_source_divergence": r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
