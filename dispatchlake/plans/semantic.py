@@ -9,9 +9,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
-import threading
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
@@ -326,57 +323,3 @@ def search(records: DataFrame, criteria: dict[str, str], registered: tuple[str,
     for column, value in criteria.items():
         records = records.filter(F.col(column).cast("string") == value)
     return (records if after is None else records.filter(F.col(key) > after)).orderBy(key).limit(page)
-
-
-_CHANGES = re.compile(r"^[\s:|+-]*'?(Insert|Delete|Update|Merge|Create|Replace|Drop|Alter|Set|Load)\w*", re.MULTILINE)
-
-
-def controlled_sql(spark, text: str, views: frozenset[str], most: int = MAX_ROWS, principal: Principal | None = None, seconds: float = MAX_SECONDS) -> DataFrame:
-    """A query of a person over allowed views only; a result beyond `most` rows or `seconds` is refused, never cut.
-
-    What a query names is taken from Spark's own parse (EXPLAIN EXTENDED): every relation must be an allowed view or a
-    common table of the query, whose name must not hide another table."""
-    if principal is not None and not principal.natural:
-        raise ERRORS["metric_forbidden"]("only for persons")
-    text = text.strip().rstrip(";")
-    if not text.lower().startswith(("select", "with")) or ";" in text:
-        raise ERRORS["metric_forbidden"]("only a single SELECT")
-    parsed = spark.sql(f"EXPLAIN EXTENDED {text}").first()[0].partition("== Analyzed Logical Plan ==")[0]
-    if _CHANGES.search(parsed):
-        raise ERRORS["metric_forbidden"]("only reading")
-    named = {n.lower() for n in re.findall(r"'UnresolvedRelation \[([^\]]*)\]", parsed)}
-    common = {n.strip().lower() for names in re.findall(r"CTE \[([^\]]*)\]", parsed) for n in names.split(",")}
-    allowed = {v.lower() for v in views}
-    forbidden = {n for n in named - allowed if n not in common} | {n for n in common - allowed if spark.catalog.tableExists(n)}
-    if forbidden:
-        raise ERRORS["metric_forbidden"](", ".join(sorted(forbidden)))
-    found = spark.sql(text).limit(most + 1).persist()
-    try:
-        if _within(spark, found.count, seconds) > most:
-            raise ERRORS["result_too_large"]()
-    except BaseException:
-        found.unpersist()
-        raise
-    return found
-
-
-def _within(spark, work: Callable[[], int], seconds: float) -> int:
-    """The work's result; its jobs are cancelled, and it is refused, once it takes longer."""
-    context, tag, late = spark.sparkContext, f"quota-{uuid.uuid4().hex}", threading.Event()
-
-    def stop() -> None:
-        late.set()
-        context.cancelJobsWithTag(tag)
-
-    timer = threading.Timer(seconds, stop)
-    context.addJobTag(tag)
-    timer.start()
-    try:
-        return work()
-    except Exception as error:
-        if late.is_set():
-            raise ERRORS["result_too_large"](f"took more than {seconds:g} seconds") from error
-        raise
-    finally:
-        timer.cancel()
-        context.removeJobTag(tag)
