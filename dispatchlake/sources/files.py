@@ -4,83 +4,28 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .contracts import Contract
+from .delimited import parse_csv
 
 
 class Rejected(ValueError):
     """A whole batch is refused: nothing of it is read."""
 
 
-def header_findings(header: list[str], contract: Contract) -> dict[str, list[str]]:
-    """missing, extra and reordered columns. A byte order mark shows as part of the first name."""
-    columns = list(contract.columns)
-    common = [c for c in header if c in columns]
-    return {
-        "missing": [c for c in columns if c not in header],
-        "extra": [c for c in header if c not in columns],
-        "reordered": common if common != [c for c in columns if c in header] else [],
-        "repeated": sorted({c for c in header if header.count(c) > 1}),
-    }
-
-
-def _marked(spark: SparkSession, file: str) -> bool:
-    """Whether a file begins with a byte order mark, which line readers skip. Three bytes are read."""
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(file)
-    stream = path.getFileSystem(context._jsc.hadoopConfiguration()).open(path)
-    try:
-        return [stream.read() for _ in range(3)] == [0xEF, 0xBB, 0xBF]
-    finally:
-        stream.close()
-
-
-def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """file, value and a struct `at` that orders the lines of a file. Text is not decoded, so bytes stay as they are."""
-    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
-    return spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value", place.alias("at"))
-
-
-def _header(spark: SparkSession, line: str) -> list[str]:
-    fields = ",".join(f"c{i} string" for i in range(line.count(",") + 1))
-    return [h or "" for h in spark.range(1).select(F.from_csv(F.lit(line), fields).alias("r")).select("r.*").first() if h is not None or line]
-
-
 def read_csv(spark: SparkSession, path: str | list[str], contract: Contract) -> DataFrame:
-    """Every column as text, in the first header's order; a path may hold several files, whose headers may differ in
-    order. Empty files, bad headers, ragged rows and bytes that are not UTF-8 reject the batch."""
-    paths = [path] if isinstance(path, str) else path
-    files = spark.read.text(paths).inputFiles()
-    lines = _lines(spark, paths)
-    # one row for each file
-    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"), F.count_if(~F.is_valid_utf8("value")).alias("undecodable")).collect()
-    if not files or len(first) < len(files):
-        raise Rejected("the file is empty")
-    if any(r["undecodable"] for r in first):
-        raise Rejected("text that is not UTF-8")
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for r in sorted(first, key=lambda r: r["file"]):
-        header = _header(spark, r["header"])
-        if _marked(spark, r["file"]):
-            header[0] = "\ufeff" + header[0]
-        found = header_findings(header, contract)
-        if found["missing"] or found["repeated"]:
-            raise Rejected(f"header: {found}")
-        by_header.setdefault(tuple(header), []).append(r["file"])
-    out = None
-    for header, own in by_header.items():
-        schema = ", ".join(f"`{h}` string" for h in header) + ", _corrupt string"
-        rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").csv(own)
-        # the reader only tells what is corrupt where it reads the other columns too
-        if not rows.filter(F.col("_corrupt").isNotNull() & (F.length(F.concat_ws("", *(F.col(f"`{h}`") for h in header))) >= 0)).isEmpty():
-            raise Rejected("rows with another number of fields")
-        rows = rows.drop("_corrupt")
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    return out
+    """The contract's columns as text, of one file or several. A batch that cannot be read, or whose header is not the
+    contract's, is rejected whole; `stage_batch` keeps the rows of the latter for a later release."""
+    batch = parse_csv(spark, path, contract)
+    if batch.quarantine:
+        raise Rejected("; ".join(batch.quarantine))
+    return batch.rows
 
 
 def read_drop(spark: SparkSession, folder: str, contract: Contract) -> DataFrame:
@@ -89,11 +34,16 @@ def read_drop(spark: SparkSession, folder: str, contract: Contract) -> DataFrame
     The checksum is the sum of the CRC-32 of every line, so it does not depend on the order of lines."""
     manifest = json.loads("\n".join(r[0] for r in spark.read.text(f"{folder}/manifest.json").collect()))
     paths = [f"{folder}/{name}" for name in manifest["files"]]
-    told = _lines(spark, paths).groupBy(F.element_at(F.split("file", "/"), -1).alias("name")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.crc32(F.col("value").cast("binary"))).alias("checksum")).collect()
-    seen, checksum = {r["name"]: r["n"] - 1 for r in told}, sum(r["checksum"] for r in told)
-    if seen != manifest["files"] or checksum != manifest["checksum"]:
-        raise Rejected("files, row counts or checksum differ from the manifest")
-    return read_csv(spark, paths, contract)
+    checksum = spark.read.option("lineSep", "\n").text(paths).agg(F.sum(F.crc32(F.col("value").cast("binary")))).first()[0]
+    if checksum != manifest["checksum"]:
+        raise Rejected("the checksum differs from the manifest")
+    batch = parse_csv(spark, paths, contract, ("file",))
+    if batch.quarantine:
+        raise Rejected("; ".join(batch.quarantine))
+    told = {unquote(r["file"].rpartition("/")[2]): r["count"] for r in batch.rows.groupBy("file").count().collect()}
+    if dict.fromkeys(manifest["files"], 0) | told != manifest["files"]:
+        raise Rejected("row counts differ from the manifest")
+    return batch.rows.drop("file")
 
 
 def append_raw(rows: DataFrame, path: str) -> None:
@@ -101,11 +51,29 @@ def append_raw(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy("ingest_month").parquet(path)
 
 
+class Staged(NamedTuple):
+    """What became of a batch: rows appended to raw, and why they wait for a release."""
+
+    rows: int
+    quarantine: tuple[str, ...]
+    unknown: tuple[str, ...]
+
+
+def stage_batch(spark: SparkSession, path: str | list[str], contract: Contract, target: str, run_id: str, batch_seq: int, month: str) -> Staged:
+    """One batch of files appended to raw in a single job, with its run and number and all that was received (payload). A
+    batch whose header is not the contract's is appended too, and to be quarantined; one that cannot be read leaves no rows."""
+    batch = parse_csv(spark, path, contract, ("payload",))
+    if batch.rows is None:
+        return Staged(0, batch.quarantine, batch.unknown)
+    append_raw(batch.rows.withColumns({"run_id": F.lit(run_id), "batch_seq": F.lit(batch_seq).cast("long"), "ingest_month": F.lit(month)}), target)
+    n = spark.read.parquet(target).filter((F.col("ingest_month") == month) & (F.col("run_id") == run_id) & (F.col("batch_seq") == batch_seq)).count()
+    return Staged(n, batch.quarantine, batch.unknown)
+
+
 def load_batch(spark: SparkSession, path: str | list[str], contract: Contract, target: str, run_id: str, batch_seq: int, month: str) -> int:
     """One batch of files appended to raw in a single job, with its run and number; returns its rows. A rejected batch
-    writes nothing. Columns that the contract does not have are left out."""
-    rows = read_csv(spark, path, contract).select(*(F.col(f"`{c}`") for c in contract.columns))
-    tagged = rows.withColumns({"run_id": F.lit(run_id), "batch_seq": F.lit(batch_seq).cast("long"), "ingest_month": F.lit(month)})
+    writes nothing."""
+    tagged = read_csv(spark, path, contract).withColumns({"run_id": F.lit(run_id), "batch_seq": F.lit(batch_seq).cast("long"), "ingest_month": F.lit(month)})
     append_raw(tagged, target)
     return spark.read.parquet(target).filter((F.col("ingest_month") == month) & (F.col("run_id") == run_id) & (F.col("batch_seq") == batch_seq)).count()
 

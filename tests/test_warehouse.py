@@ -177,9 +177,9 @@ def test_contracts():
 def test_csv_batches_are_whole_or_refused(spark, tmp_path):
     c = contracts.contract(RAW)
     write = lambda name, text: (tmp_path / name).write_text(text, encoding="utf-8") and str(tmp_path / name)
-    good = files.read_csv(spark, write("good.csv", 'ID,SEQ,AT,NEW\n1,-1,"a,b",x\n2,,,\n'), c)
-    assert [tuple(r) for r in good.collect()] == [("1", "-1", "a,b", "x"), ("2", None, None, None)]
-    for name, text in (("ragged.csv", "ID,SEQ,AT\n1,2\n"), ("more.csv", "ID,SEQ,AT\n1,2,3,4\n"), ("missing.csv", "ID,SEQ\n1,2\n"), ("twice.csv", "ID,SEQ,AT,ID\n1,2,3,4\n"), ("bom.csv", "﻿ID,SEQ,AT\n1,2,3\n")):
+    good = files.read_csv(spark, write("good.csv", 'ID,SEQ,AT\n1,-1,"a,b"\n2,,""\n'), c)
+    assert [tuple(r) for r in good.collect()] == [("1", "-1", "a,b"), ("2", "", "")]
+    for name, text in (("ragged.csv", "ID,SEQ,AT\n1,2\n"), ("more.csv", "ID,SEQ,AT\n1,2,3,4\n"), ("missing.csv", "ID,SEQ\n1,2\n"), ("extra.csv", "ID,SEQ,AT,NEW\n1,2,3,4\n"), ("other order.csv", "SEQ,ID,AT\n1,2,3\n"), ("blank.csv", "ID,SEQ,AT\n\n1,2,3\n"), ("twice.csv", "ID,SEQ,AT,ID\n1,2,3,4\n"), ("bom.csv", "﻿ID,SEQ,AT\n1,2,3\n")):
         with pytest.raises(files.Rejected):
             files.read_csv(spark, write(name, text), c)
     (tmp_path / "empty.csv").touch()
@@ -315,18 +315,19 @@ def test_files_of_a_drop(spark, tmp_path):
         (folder / "manifest.json").write_text(json.dumps(manifest))
         return str(folder)
 
-    # columns in another order in the second file, a valid replacement character
-    good = drop("good", {"a.csv": "id,name\n1,x\n2,�\n", "b.csv": "name,id\ny,3\n", "c.csv": "id,name,more\n4,z,q\n"})
+    # a valid replacement character, a record over two lines, a file without rows
+    good = drop("good", {"a b.csv": "id,name\n1,x\n2,�\n", "b.csv": 'id,name\n3,"y\nz"\n', "c.csv": "id,name\n"}, rows={"a b.csv": 2, "b.csv": 1, "c.csv": 0})
     got = files.read_drop(spark, good, c)
-    assert sorted((r["id"], r["name"], r["more"]) for r in got.collect()) == [("1", "x", None), ("2", "�", None), ("3", "y", None), ("4", "z", "q")]
+    assert sorted((r["id"], r["name"]) for r in got.collect()) == [("1", "x"), ("2", "�"), ("3", "y\nz")]
     folder = tmp_path / "folder"
     folder.mkdir()
     (folder / "a.csv").write_text("id,name\n1,x\n")
-    (folder / "b.csv").write_text("name,id\ny,2\n")
+    (folder / "b.csv").write_text("id,name\n2,y\n")
     assert sorted(map(tuple, files.read_csv(spark, str(folder), c).select("id", "name").collect())) == [("1", "x"), ("2", "y")]
     for bad in (
         drop("marked", {"a.csv": "id,name\n1,x\n", "b.csv": "﻿id,name\n2,y\n"}),
         drop("missing", {"a.csv": "id,name\n1,x\n", "b.csv": "id,other\n2,y\n"}),
+        drop("order", {"a.csv": "id,name\n1,x\n", "b.csv": "name,id\ny,2\n"}),
         drop("ragged", {"a.csv": "id,name\n1,x\n", "b.csv": "id,name\n2,y,z\n"}),
         drop("bytes", {"a.csv": b"id,name\n1,\xff\n"}),
         drop("rows", {"a.csv": "id,name\n1,x\n"}, rows={"a.csv": 2}),
@@ -511,7 +512,7 @@ def test_paths_readers_and_bulk_loads(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x\ny\n")
     assert contracts.reader(spark, {"connector": "file_drop"}, secret).load(str(tmp_path / "a.txt")).count() == 2
     c = contracts.Contract("s", 1, "file_drop", ("id", "name"), ("id",))
-    (tmp_path / "b.csv").write_text("name,id,more\nx,1,z\ny,2,z\n")
+    (tmp_path / "b.csv").write_text("id,name\n1,x\n2,y\n")
     (tmp_path / "bad.csv").write_text("name\nx\n")
     target = str(tmp_path / "raw")
     assert files.load_batch(spark, str(tmp_path / "b.csv"), c, target, "r", 1, "2026-01") == 2
