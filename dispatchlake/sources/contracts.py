@@ -6,17 +6,12 @@ import hashlib
 import json
 import re
 from dataclasses import dataclass, field
-from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 
 from pyspark.sql import types as T
 
-CONNECTORS = ("pg_read", "mssql_read", "rest_api", "kafka_consume", "file_drop")
-MAPPINGS = ("verified", "mapped_unverified", "unknown")
-MOST_LOOKBACK_MINUTES = 1440
-WATERMARKS = ("time", "version", "sequence")
-#: What the path of a dataset must leave open, by its scope.
-SCOPES: dict[str, tuple[str, ...]] = {"site": (), "centre": ("centre", "unit")}
-INDEX_COLUMN = "IDX_"
+from .contract_rules import LOOKBACK_MINUTES, long_form, problems
+
+MOST_LOOKBACK_MINUTES = LOOKBACK_MINUTES[1]
 
 
 @dataclass(frozen=True)
@@ -62,174 +57,21 @@ def load(text: str) -> dict:
     return yaml.load(text, Loader)  # noqa: S506  a safe loader with one more check
 
 
-NAME = re.compile(r"[a-z][a-z0-9_]*")
-#: Keys that would hold a credential: a contract only refers to one.
-SECRET = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE)
-#: What a code set of this name may classify its codes as.
-CLASSES = {"release_cause": frozenset({"agent", "caller", "system"})}
-MOST_STALE_DAYS, MOST_MIDNIGHT_SKIP, MOST_OBJECTS = 366, 60, 1000
-
-
-def _whole(value, least: int, most: int | None = None) -> bool:
-    return isinstance(value, int) and not isinstance(value, bool) and value >= least and (most is None or value <= most)
-
-
-def _zone(value) -> bool:
-    try:
-        return isinstance(value, str) and bool(ZoneInfo(value))
-    except (ZoneInfoNotFoundError, ValueError):
-        return False
-
-
-def _leaves(node, path: str = ""):
-    """(path, key, value) of every entry of nested mappings and lists."""
-    if isinstance(node, dict):
-        for key, value in node.items():
-            yield f"{path}.{key}".lstrip("."), str(key), value
-            yield from _leaves(value, f"{path}.{key}")
-    elif isinstance(node, list):
-        for i, value in enumerate(node):
-            yield from _leaves(value, f"{path}[{i}]")
-
-
-def problems(raw: dict) -> list[str]:
-    """Everything that is wrong with a contract, all at once."""
-    out = [f"{name} is missing" for name in ("source_id", "version", "connector", "columns", "key") if not raw.get(name)]
-    columns = list(raw.get("columns") or [])
-    rules = [
-        (raw.get("connector") is not None and raw.get("connector") not in CONNECTORS, "connector is unknown"),
-        (raw.get("version") is not None and not _whole(raw.get("version"), 1), "version must be a positive number"),
-        (bool(raw.get("source_id")) and not (isinstance(raw["source_id"], str) and NAME.fullmatch(raw["source_id"])), "source_id must be a lower-case name"),
-        ("enabled" in raw and not isinstance(raw["enabled"], bool), "enabled must be true or false"),
-        (len(set(columns)) < len(columns), "columns repeat a name"),
-        (any(not isinstance(c, str) or not c for c in columns), "columns must be names"),
-        (any(k not in columns for k in raw.get("key") or []), "key names a column that is not there"),
-        (len(set(raw.get("key") or [])) < len(raw.get("key") or []), "key repeats a column"),
-        (not _whole(raw.get("lookback_minutes", 15), 0, MOST_LOOKBACK_MINUTES), "lookback_minutes is out of range"),
-        (not _whole(raw.get("min_span_seconds", 60), 1), "min_span_seconds must be positive"),
-        (not _whole(raw.get("max_span_seconds", 1200), 1), "max_span_seconds must be positive"),
-        (_whole(raw.get("min_span_seconds", 60), 1) and _whole(raw.get("max_span_seconds", 1200), 1) and raw.get("min_span_seconds", 60) > raw.get("max_span_seconds", 1200), "min_span_seconds exceeds max_span_seconds"),
-        (not _whole(raw.get("batch_size", 100), 1, MOST_OBJECTS), "batch_size must be positive"),
-        ("zone" in raw and not _zone(raw["zone"]), "zone is not a time zone"),
-        (any(m not in MAPPINGS for m in (raw.get("mapping") or {}).values()), "mapping has an unknown state"),
-        (any(c not in columns for c in raw.get("mapping") or {}), "mapping names a column that is not there"),
-    ]
-    found = [text for wrong, text in rules if wrong]
-    for part in (_watermark, _window, _access, _datasets, _indexes, _code_sets):
-        found += part(raw, columns)
-    return out + found
-
-
-def _watermark(raw: dict, columns: list[str]) -> list[str]:
-    mark = raw.get("watermark")
-    if mark is None:
-        return []
-    if not isinstance(mark, dict) or mark.get("type") not in WATERMARKS or not isinstance(mark.get("column"), str):
-        return [f"watermark must have a type ({', '.join(WATERMARKS)}) and a column"]
-    return [] if mark["column"] in columns or mark["type"] == "version" else ["watermark names a column that is not there"]
-
-
-def _window(raw: dict, columns: list[str]) -> list[str]:
-    """Only what is there is checked; a value left empty counts as wrong."""
-    window = raw.get("window")
-    if window is None:
-        return []
-    if not isinstance(window, dict):
-        return ["window must be a mapping"]
-    bounds = {"max_span_hours": (1, None), "concurrency": (1, None), "restate_days": (0, None), "version_stale_days": (1, MOST_STALE_DAYS), "midnight_skip_minutes": (1, MOST_MIDNIGHT_SKIP)}
-    found = [f"window.{name} is out of range" for name, (least, most) in bounds.items() if name in window and not _whole(window[name], least, most)]
-    if "schedule" in window and not (isinstance(window["schedule"], str) and len(window["schedule"].split()) == 5):
-        found.append("window.schedule must have five fields")
-    found += [f"window.{name} is not a time zone" for name in ("day_timezone", "source_timezone") if name in window and not _zone(window[name])]
-    if "max_span_hours" in window and "source_timezone" not in window:
-        found.append("window.source_timezone is missing for a window of time")
-    return found
-
-
-def _access(raw: dict, columns: list[str]) -> list[str]:
-    found = [f"{path} looks like a credential" for path, key, _ in _leaves({k: v for k, v in raw.items() if k != "columns"}) if SECRET.search(key)]
-    found += [f"{path} must be a lower-case name" for path, key, value in _leaves(raw) if key in ("credential_ref", "host_ref") and not (isinstance(value, str) and NAME.fullmatch(value))]
-    auth = raw.get("auth")
-    if "auth" in raw and not isinstance(auth, dict):
-        found.append("auth must be a mapping")
-    elif isinstance(auth, dict):
-        if "inherits" in auth:
-            if not (isinstance(auth["inherits"], str) and NAME.fullmatch(auth["inherits"])):
-                found.append("auth.inherits must name another contract")
-        elif not isinstance((auth.get("obtain") or {}).get("credential_ref"), str):
-            found.append("auth must say how access is obtained, or whose it inherits")
-    return found
-
-
-def _datasets(raw: dict, columns: list[str]) -> list[str]:
-    datasets = raw.get("datasets")
-    if datasets is None:
-        return []
-    if not isinstance(datasets, list) or not datasets:
-        return ["datasets must be a list"]
-    found, names = [], []
-    for i, d in enumerate(datasets):
-        if not isinstance(d, dict):
-            found.append(f"datasets[{i}] must be a mapping")
-            continue
-        names.append(d.get("name"))
-        path = d.get("path")
-        if not isinstance(d.get("name"), str) or not d["name"]:
-            found.append(f"datasets[{i}] has no name")
-        if not (isinstance(path, str) and path.startswith("/")):
-            found.append(f"datasets[{i}].path must be absolute")
-        if d.get("scope") not in SCOPES:
-            found.append(f"datasets[{i}].scope is unknown")
-        elif isinstance(path, str) and any("{" + place + "}" not in path for place in SCOPES[d["scope"]]):
-            found.append(f"datasets[{i}].path lacks a place of its scope")
-        if "key" not in d or not (d["key"] is None or (isinstance(d["key"], str) and d["key"])):
-            found.append(f"datasets[{i}].key must be a name, or null")
-    return found + (["datasets repeat a name"] if len(set(map(str, names))) < len(names) else [])
-
-
-def _indexes(raw: dict, columns: list[str]) -> list[str]:
-    ids, objects = raw.get("index_ids"), raw.get("objects")
-    found = []
-    if ids is not None:
-        if not (isinstance(ids, list) and ids and all(isinstance(i, str) and i for i in ids) and len(set(ids)) == len(ids)):
-            found.append("index_ids must be distinct names")
-        elif any(c.startswith(INDEX_COLUMN) for c in columns) and {c for c in columns if c.startswith(INDEX_COLUMN)} != set(ids):
-            found.append("index_ids and the columns of indexes differ")
-    if objects is not None:
-        if not isinstance(objects, dict):
-            found.append("objects must be a mapping")
-        elif "batch_size" in objects and not _whole(objects["batch_size"], 1, MOST_OBJECTS):
-            found.append("objects.batch_size is out of range")
-    return found
-
-
-def _code_sets(raw: dict, columns: list[str]) -> list[str]:
-    found = []
-    for name, codes in (raw.get("code_sets") or {}).items():
-        if not (isinstance(codes, (list, tuple)) and codes and len(set(map(str, codes))) == len(codes)):
-            found.append(f"code_sets.{name} must be distinct codes")
-    for name, classes in (raw.get("classes") or {}).items():
-        if not (isinstance(classes, dict) and classes):
-            found.append(f"classes.{name} must map classes to codes")
-            continue
-        if name in CLASSES and set(classes) - CLASSES[name]:
-            found.append(f"classes.{name} has an unknown class")
-        listed = [c for codes in classes.values() for c in (codes if isinstance(codes, list) else [None])]
-        if any(not _whole(c, -(1 << 31)) for c in listed) or not all(classes.values()):
-            found.append(f"classes.{name} must hold whole numbers")
-        if len(set(listed)) < len(listed):
-            found.append(f"classes.{name} has a code in two classes")
-    return found
-
-
 def contract(raw: dict) -> Contract:
-    found = problems(raw)
-    if found:
+    """The contract of a document, in the long form or the short one of `contract_rules.SHORT`."""
+    if found := problems(raw):
         raise ValueError("; ".join(found))
-    known = {k: v for k, v in raw.items() if k in Contract.__dataclass_fields__}
-    known |= {k: tuple(known[k]) for k in ("columns", "key")}
-    known["code_sets"] = {k: tuple(v) for k, v in (raw.get("code_sets") or {}).items()}
-    return Contract(**known)
+    full = long_form(raw)
+    columns = full.get("columns") or []
+    given = {
+        "zone": at(full, "window.source_timezone"), "lookback_minutes": at(full, "window.lookback_minutes"), "min_span_seconds": at(full, "window.min_span_seconds"),
+        "max_span_seconds": at(full, "window.max_span_seconds") or (at(full, "window.max_span_hours") or 0) * 3600 or None, "batch_size": at(full, "endpoint.objects.batch_size"),
+    }
+    return Contract(
+        full["source_id"], full["contract_version"], full["connector"], tuple(c["src"] for c in columns), tuple(full["idempotent_key"]),
+        mapping={c["src"]: c["state"] for c in columns}, code_sets={k: tuple(map(str, v["values"])) for k, v in (full.get("enums") or {}).items() if "values" in v},
+        **{k: v for k, v in given.items() if v is not None},
+    )
 
 
 def overridden(c: Contract, lookback_minutes: int) -> Contract:

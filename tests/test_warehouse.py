@@ -163,7 +163,7 @@ def test_contracts():
     c = contracts.contract(RAW)
     assert c.schema().names == ["ID", "SEQ", "AT"] and contracts.overridden(c, 60).lookback_minutes == 60
     wrong = contracts.problems(RAW | {"connector": "ftp", "key": ["X"], "lookback_minutes": 5000, "columns": ["ID", "ID"]})
-    assert len(wrong) == 4
+    assert [w.split()[0] for w in wrong] == ["connector", "window.lookback_minutes", "columns[].src", "idempotent_key[]"]
     for f in (lambda: contracts.overridden(c, 5), lambda: contracts.load("a: 1\na: 2\n"), lambda: contracts.sync({"cdr": (2, "other")}, c), lambda: contracts.sync({"cdr": (3, "x")}, c)):
         with pytest.raises(ValueError):
             f()
@@ -393,32 +393,6 @@ def test_recomputed_calls_have_every_column(spark):
     assert sorted(map(tuple, one.select(order).collect())) == sorted(map(tuple, two.select(order).collect()))
 
 
-def test_every_problem_of_a_contract_is_told_at_once():
-    good = {"source_id": "calls", "version": 1, "connector": "rest_api", "columns": ["id", "at", "IDX_1"], "key": ["id"], "zone": "Asia/Riyadh", "enabled": True}
-    good |= {"watermark": {"type": "time", "column": "at"}, "window": {"max_span_hours": 2, "source_timezone": "UTC", "schedule": "*/5 * * * *", "version_stale_days": 3}}
-    good |= {"auth": {"obtain": {"credential_ref": "calls_user"}}, "datasets": [{"name": "a", "path": "/a", "scope": "site", "key": None}, {"name": "b", "path": "/b/{centre}/{unit}", "scope": "centre", "key": "id"}]}
-    good |= {"index_ids": ["IDX_1"], "objects": {"batch_size": 5}, "code_sets": {"kind": ["1", "2"]}, "classes": {"release_cause": {"agent": [1], "caller": [2, 3]}}}
-    assert contracts.problems(good) == []
-    wrong = {
-        "source_id": "Calls", "version": True, "enabled": "yes", "connector": "ftp", "key": ["id", "id"], "zone": "Mars/One", "lookback_minutes": None, "min_span_seconds": 0, "max_span_seconds": -1, "batch_size": 0,
-        "watermark": {"type": "time", "column": "gone"}, "auth": {"obtain": {}}, "index_ids": ["IDX_2"], "objects": {"batch_size": 10**6}, "code_sets": {"kind": []}, "columns": ["id", "at", "IDX_1", "id"],
-        "window": {"max_span_hours": 0, "concurrency": None, "restate_days": -1, "version_stale_days": 999, "midnight_skip_minutes": 0, "schedule": "daily", "day_timezone": "x"},
-        "datasets": [{"name": "a", "path": "a", "scope": "site", "key": None}, {"name": "a", "path": "/b", "scope": "centre", "key": ""}, 5, {"path": "/c", "scope": "all"}],
-        "classes": {"release_cause": {"agent": [1], "robot": [1, "x"]}, "other": {}},
-        "endpoint": {"password": "x", "host_ref": "Not A Name"},
-    }
-    found = contracts.problems(good | wrong)
-    for text in (
-        "source_id must", "version must", "enabled must", "connector is", "columns repeat", "key repeats", "zone is not", "lookback_minutes is", "min_span_seconds must", "max_span_seconds must", "batch_size must",
-        "watermark names", "auth must say", "index_ids and", "objects.batch_size", "code_sets.kind", "window.max_span_hours", "window.concurrency", "window.restate_days", "window.version_stale_days", "window.midnight_skip_minutes",
-        "window.schedule", "window.day_timezone", "window.source_timezone is missing", "datasets[0].path", "datasets[1].path lacks", "datasets[1].key", "datasets[2] must", "datasets[3] has no name", "datasets[3].scope", "datasets repeat",
-        "classes.release_cause has an unknown", "classes.release_cause must hold", "classes.release_cause has a code", "classes.other must", "endpoint.password looks", "endpoint.host_ref must",
-    ):
-        assert any(f.startswith(text) for f in found), text
-    with pytest.raises(ValueError):
-        contracts.contract(good | wrong)
-
-
 def test_metadata_says_what_limits_a_result(spark):
     d = date(2026, 1, 1)
     rows = spark.createDataFrame([(d, 0, "unlinked", 5, 2), (d, 0, "7", 4, 1)], "day date, close_version int, agent string, presented long, answered long")
