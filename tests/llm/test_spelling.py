@@ -94,9 +94,8 @@ def test_near_words_meet_under_a_key(words, hot):
     lists = {}
     for w in words:
         for key in spelling.keys(w, held, hot):
-            for length in (len(w), len(w) - 1):
-                lists.setdefault((key, length), []).append(w)
-    found = {frozenset((own[a], own[b])) for (key, length), own in lists.items() for a, b in spelling.near(own, length, key)}
+            lists.setdefault(key, []).append(w)
+    found = {frozenset((own[a], own[b])) for key, own in lists.items() for a, b in spelling.near(own, key)}
     assert found == {frozenset((x, y)) for x in words for y in words if distance_is_one(x, y)}
 
 
