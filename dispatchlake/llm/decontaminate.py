@@ -1,10 +1,12 @@
 """Benchmark decontamination: words of training texts that repeat a benchmark item are hit.
 
 Words are lower-cased (A-Z) runs of letters, digits and non-ASCII characters. An item's windows are
-its n consecutive words, or all of them where it has fewer. The windows form a hash set that is
-broadcast as arrays: the items' words, one after the other, and the sorted hashes of the windows with
-their first words. Texts are scanned with rolling hashes, and every hash that hits is verified against
-the window's own bytes. Hit words are those inside any occurrence of a window.
+its n consecutive words, or all of them where it has fewer. The distinct windows form a hash set that is
+broadcast as arrays: the items' words, one after the other, and by length the windows' sorted hashes with the
+first word of one occurrence and the ids of the items that have them. Texts are scanned with rolling hashes, and
+every occurrence whose hash hits is verified against the window's own bytes. Hit words are those inside any
+occurrence of a window. However many items share a window, an occurrence meets it once, and a text's items are
+put together once for the windows that it has.
 
 The benchmark is broadcast in parts of about `most` bytes of text; the arrays of a part take at most
 eleven times as much (a word of one byte has 8 bytes of hash and 12 of places). A benchmark of any size
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,16 +39,27 @@ N = 13
 CONTAMINATED_PART = 20
 #: Benchmark items whose windows are broadcast together: at most about so many bytes of text.
 BROADCAST_BYTES = 16 << 20
+#: Occurrences that are verified at once.
+CHUNK = 1 << 16
+
+
+class Found(NamedTuple):
+    """What the texts of a slice have: which of their words are hit, and the distinct (text, window) pairs."""
+
+    covered: np.ndarray
+    texts: np.ndarray
+    windows: np.ndarray
 
 
 class Windows:
-    """The windows of some items: their words as bytes, and by length the windows' sorted hashes with the
-    item and the first word of each. A window that an item repeats is held once."""
+    """The distinct windows of some items: their words as bytes, and by length their sorted hashes, the first word of
+    each, and a number. Of each number `items` has the ids, by their place in `ids`."""
 
     def __init__(self, items: pa.Table, n: int):
-        ids = items.column("item_id").to_pylist()
-        #: Ids of items, and of those without one None.
-        self.ids = ids
+        given = items.column("item_id").to_pylist()
+        #: The ids, sorted as strings.
+        self.ids = sorted({i for i in given if i is not None})
+        place = {i: k for k, i in enumerate(self.ids)}
         pieces, starts, ends, counts, hashes, base = [], [], [], [], [], 0
         for _, _, data, offsets in words.slices(items.column("text")):
             w = words.split(data, offsets, words.ALNUM, lower=True)
@@ -57,40 +71,103 @@ class Windows:
             hashes.append(w.hashes)
             base += len(w.data)
         join = lambda arrays, kind: np.concatenate(arrays).astype(kind) if arrays else np.zeros(0, kind)
-        self.data, self.starts, self.ends = b"".join(pieces), join(starts, np.uint32), join(ends, np.uint32)
+        self.data, self.starts, self.ends = np.frombuffer(b"".join(pieces), np.uint8), join(starts, np.uint32), join(ends, np.uint32)
         counts, hashes = join(counts, np.int64), join(hashes, np.uint64)
-        of, first = np.repeat(np.arange(len(counts)), counts).astype(np.uint32), np.concatenate([[0], np.cumsum(counts)])
+        known: dict[bytes, int] = {}
+        raw = self.data.tobytes()
+        word = np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip(self.starts.tolist(), self.ends.tolist(), strict=True)], np.int32)
+        of, first = np.repeat(np.arange(len(counts)), counts), np.concatenate([[0], np.cumsum(counts)])
         lengths = np.minimum(counts, n)[of]
         left = np.repeat(first[1:], counts) - np.arange(len(of))
-        self.by_length = {}
+        item = np.array([-1 if i is None else place[i] for i in given], np.int32)[of]
+        self.by_length, pairs, total = {}, [], 0
         for k in np.unique(lengths).tolist():
             at = np.flatnonzero((lengths == k) & (left >= k))
             grams = words.ngrams(hashes, k)[at]
-            order = np.lexsort((of[at], grams))
+            order = np.lexsort([word[at + j] for j in reversed(range(k))] + [grams])
             at, grams = at[order], grams[order]
             new = np.ones(len(at), dtype=bool)
-            new[1:] = (grams[1:] != grams[:-1]) | (of[at][1:] != of[at][:-1])
-            self.by_length[k] = (grams[new], at[new].astype(np.uint32), of[at[new]])
+            new[1:] = grams[1:] != grams[:-1]
+            for j in range(k):
+                new[1:] |= word[at[1:] + j] != word[at[:-1] + j]
+            number = np.cumsum(new) - 1
+            self.by_length[k] = (grams[new], at[new].astype(np.uint32), total)
+            pairs.append(np.stack([number + total, item[at]], axis=1))
+            total += int(new.sum())
+        held = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+        held = held[held[:, 1] >= 0]
+        self.items, self.bounds = held[:, 1].astype(np.int32), np.searchsorted(held[:, 0], np.arange(total + 1)).astype(np.uint32)
+        self.told: dict[bytes, np.ndarray] = {}
 
     def size(self) -> int:
         """Bytes of all arrays."""
-        return len(self.data) + self.starts.nbytes + self.ends.nbytes + sum(a.nbytes for of in self.by_length.values() for a in of)
+        arrays = [self.data, self.starts, self.ends, self.items, self.bounds, *(a for of in self.by_length.values() for a in of[:2])]
+        return sum(a.nbytes for a in arrays)
 
-    def hits(self, w: words.Words) -> Iterator[tuple[int, int, list]]:
-        """(first word, number of words, ids of items) of each occurrence of a window."""
-        for k, (hashes, first, of) in self.by_length.items():
+    def find(self, w: words.Words) -> Found:
+        change = np.zeros(len(w.starts) + 1, np.int32)
+        texts, windows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k, (hashes, first, base) in self.by_length.items():
             grams = words.ngrams(w.hashes, k)
             low = np.searchsorted(hashes, grams)
-            hit = (hashes[np.minimum(low, len(hashes) - 1)] == grams) & w.valid(k)[: len(grams)]
-            for i in np.flatnonzero(hit).tolist():
-                a, b = int(low[i]), int(np.searchsorted(hashes, grams[i], side="right"))
-                own = [w.word(j) for j in range(i, i + k)]
-                items = [self.ids[of[j]] for j in range(a, b) if self._words(int(first[j]), k) == own]
-                if items:
-                    yield i, k, items
-
-    def _words(self, first: int, k: int) -> list[bytes]:
-        return [self.data[self.starts[j] : self.ends[j]] for j in range(first, first + k)]
+            hit = np.flatnonzero((hashes[np.minimum(low, len(hashes) - 1)] == grams) & w.valid(k)[: len(grams)])
+            at = low[hit]
+            while len(hit):  # once, but for windows of different words whose hashes are equal
+                same = np.concatenate([self._equal(w, hit[i : i + CHUNK], first[at[i : i + CHUNK]], k) for i in range(0, len(hit), CHUNK)])
+                own = hit[same]
+                change[: len(w.starts)] += np.bincount(own, minlength=len(w.starts)).astype(np.int32)
+                change -= np.bincount(own + k, minlength=len(change)).astype(np.int32)
+                seen = np.unique((np.searchsorted(w.offsets, own, side="right") - 1) * len(hashes) + at[same])
+                texts.append(seen // len(hashes))
+                windows.append(seen % len(hashes) + base)
+                more = (at + 1 < len(hashes)) & (hashes[np.minimum(at + 1, len(hashes) - 1)] == grams[hit])
+                hit, at = hit[more], at[more] + 1
+        return Found(np.cumsum(change[:-1]) > 0, np.concatenate(texts), np.concatenate(windows))
+
+    def _equal(self, w: words.Words, at: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
+        """Whether the k words from each `at` on are byte for byte those from `first` on."""
+        same = np.ones(len(at), dtype=bool)
+        for j in range(k):
+            a, b = w.starts[at + j].astype(np.int64), self.starts[first + j].astype(np.int64)
+            n = w.ends[at + j] - a
+            same &= n == self.ends[first + j] - b
+            rows = np.flatnonzero(same)
+            a, b, n = a[rows], b[rows], n[rows]
+            if not len(rows):
+                break
+            begins = np.cumsum(n) - n
+            step = np.arange(int(n.sum())) - np.repeat(begins, n)
+            differ = w.data[np.repeat(a, n) + step] != self.data[np.repeat(b, n) + step]
+            same[rows[np.logical_or.reduceat(differ, begins)]] = False
+        return same
+
+    def items_of(self, windows: np.ndarray) -> np.ndarray:
+        """The items that have any of these windows; put together once for each set of windows."""
+        key = np.sort(windows).tobytes()
+        if key not in self.told:
+            if len(self.told) >= 1000:
+                self.told.clear()
+            self.told[key] = np.unique(np.concatenate([self.items[self.bounds[x] : self.bounds[x + 1]] for x in windows.tolist()] + [np.zeros(0, np.int32)]))
+        return self.told[key]
+
+    def items_by_text(self, found: Found, texts: int) -> list[np.ndarray]:
+        order = np.argsort(found.texts, kind="stable")
+        bounds = np.searchsorted(found.texts[order], np.arange(texts + 1))
+        windows = found.windows[order]
+        return [self.items_of(windows[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+
+def spans(covered: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, word after the last, text) of every run of hit words, words counted from their text's first."""
+    first = np.zeros(len(covered) + 1, dtype=bool)
+    first[offsets[:-1]] = True
+    begins = covered.copy()
+    begins[1:] &= ~covered[:-1] | first[1:-1]
+    ends = covered.copy()
+    ends[:-1] &= ~covered[1:] | first[1:-1]
+    a, b = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    text = np.searchsorted(offsets, a, side="right") - 1
+    return a - offsets[text], b - offsets[text], text
 
 
 _FOUND = ("n_words", "spans", "items")
@@ -99,25 +176,43 @@ _HITS = [("n_words", pa.int64()), ("spans", pa.list_(pa.int32())), ("items", pa.
 _FIELDS = [T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(T.IntegerType())), T.StructField("items", T.ArrayType(T.StringType()))]
 
 
+def _covered_before(column: pa.Array, offsets: np.ndarray, n: int) -> np.ndarray:
+    """The hit words that the spans of other parts of the benchmark tell."""
+    flat, bounds = column.flatten().to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()
+    base = np.repeat(offsets[:-1], np.diff(bounds) // 2)
+    change = np.zeros(n + 1, np.int32)
+    np.add.at(change, base + flat[::2], 1)
+    np.add.at(change, base + flat[1::2], -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def _lists(values: pa.Array, bounds: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)
+
+
 def _scan(broadcast, schema: pa.Schema, again: bool = False):
-    """again: the batches hold what other parts of the benchmark have found."""
+    """again: the batches hold what other parts of the benchmark have found. Items are found where the schema has them."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = broadcast.value
+        windows: Windows = broadcast.value
+        ids = pa.array(windows.ids, pa.string())
         for batch in batches:
             for first, last, data, offsets in words.slices(batch.column("text")):
                 w = words.split(data, offsets, words.ALNUM, lower=True)
                 rows = batch.slice(first, last - first)
-                spans: list[list[int]] = rows.column("spans").to_pylist() if again else [[] for _ in range(last - first)]
-                items: list[set] = [set(x) for x in rows.column("items").to_pylist()] if again else [set() for _ in range(last - first)]
-                hits = list(windows.hits(w))
-                texts = np.searchsorted(w.offsets, [i for i, _, _ in hits], side="right") - 1
-                for t, (i, k, found) in zip(texts.tolist(), hits, strict=True):
-                    spans[t] += [i - int(w.offsets[t]), i - int(w.offsets[t]) + k]
-                    items[t].update(found)
-                kept = [rows.column(c) for c in schema.names if c not in _FOUND]
-                found = [w.counts().tolist(), spans, [sorted(x for x in s if x is not None) for s in items]]
-                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(v, t) for v, (_, t) in zip(found, _HITS, strict=True))], schema=schema)
+                found = windows.find(w)
+                covered = found.covered
+                if again:
+                    covered = covered | _covered_before(rows.column("spans"), w.offsets, len(w.starts))
+                a, b, text = spans(covered, w.offsets)
+                told = {"n_words": pa.array(w.counts(), pa.int64()), "spans": _lists(pa.array(np.stack([a, b], axis=1).ravel(), pa.int32()), 2 * np.searchsorted(text, np.arange(last - first + 1)))}
+                if "items" in schema.names:
+                    own = windows.items_by_text(found, last - first)
+                    lists = _lists(ids.take(pa.array(np.concatenate([*own, np.zeros(0, np.int32)]))), np.concatenate([[0], np.cumsum([len(x) for x in own])]))
+                    if again:
+                        lists = pa.array([sorted({*x, *y}) for x, y in zip(lists.to_pylist(), rows.column("items").to_pylist(), strict=True)], pa.list_(pa.string()))
+                    told["items"] = lists
+                yield pa.RecordBatch.from_arrays([told.get(c) if c in told else rows.column(c) for c in schema.names], schema=schema)
 
     return scan
 
@@ -133,16 +228,20 @@ def parts_of(benchmark: DataFrame, most: int = BROADCAST_BYTES) -> list[DataFram
     return [benchmark.filter(part == i) for i in range(n)]
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N, item_column: str = "item_id", text_column: str = "text", most: int = BROADCAST_BYTES) -> DataFrame:
-    """`docs` (a column text, others are kept) with n_words, spans (first word and word after the last
-    of every occurrence, one after the other) and items (ids of the items found, sorted)."""
+def _items(benchmark: DataFrame, item_column: str = "item_id", text_column: str = "text") -> DataFrame:
+    return benchmark.select(F.col(item_column).cast("string").alias("item_id"), F.col(text_column).cast("string").alias("text")).filter("text is not null")
+
+
+def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N, item_column: str = "item_id", text_column: str = "text", most: int = BROADCAST_BYTES, with_items: bool = True) -> DataFrame:
+    """`docs` (a column text, others are kept) with n_words, spans (first word and word after the last of every run
+    of hit words, one after the other) and, with_items, items (ids of the items found, sorted)."""
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in _FOUND))
-    items = benchmark.select(F.col(item_column).cast("string").alias("item_id"), F.col(text_column).cast("string").alias("text")).filter("text is not null")
-    schema = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in docs.schema] + _HITS)
-    shape = T.StructType([*docs.schema, *_FIELDS])
-    parts = parts_of(items, most)
+    told = 3 if with_items else 2
+    schema = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in docs.schema] + _HITS[:told])
+    shape = T.StructType([*docs.schema, *_FIELDS[:told]])
+    parts = parts_of(_items(benchmark, item_column, text_column), most)
     out = None
     for i, part in enumerate(parts):
         windows = spark.sparkContext.broadcast(Windows(part.toArrow(), n))
@@ -155,34 +254,62 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N, item_column: st
     return out
 
 
+def _sha256(ids: list[str]) -> str:
+    return hashlib.sha256(",".join(ids).encode()).hexdigest()
+
+
+_REPORT = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256"]
+
+
+def _report(broadcast):
+    """The report of a benchmark of one part: the digest of a text's items is made once for each set of windows."""
+
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows: Windows = broadcast.value
+        digests: dict[int, tuple[np.ndarray, str]] = {}
+        for batch in batches:
+            for first, last, data, offsets in words.slices(batch.column("text")):
+                w = words.split(data, offsets, words.ALNUM, lower=True)
+                found = windows.find(w)
+                until = np.concatenate([[0], np.cumsum(found.covered)])
+                own = windows.items_by_text(found, last - first)
+                sha = []
+                for x in own:
+                    if id(x) not in digests or digests[id(x)][0] is not x:
+                        if len(digests) >= 1000:
+                            digests.clear()
+                        digests[id(x)] = (x, _sha256([windows.ids[i] for i in x.tolist()]))
+                    sha.append(digests[id(x)][1])
+                arrays = [batch.column("doc_id").slice(first, last - first), pa.array(w.counts(), pa.int64()), pa.array(until[w.offsets[1:]] - until[w.offsets[:-1]], pa.int64()), pa.array([len(x) for x in own], pa.int64()), pa.array(sha, pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, names=_REPORT)
+
+    return report
+
+
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n_hit, digests = [], []
-        for spans, items in zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True):
-            end = total = 0
-            for a, b in sorted(zip(spans[::2], spans[1::2], strict=True)):
-                total += max(0, b - max(a, end))
-                end = max(end, b)
-            n_hit.append(total)
-            digests.append(hashlib.sha256(",".join(sorted(items)).encode()).hexdigest())
-        arrays = [batch.column("doc_id"), batch.column("n_words"), pa.array(n_hit, pa.int64()), pa.array(map(len, batch.column("items").to_pylist()), pa.int64()), pa.array(digests, pa.string())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256"])
+        items = batch.column("items").to_pylist()
+        arrays = [batch.column("doc_id"), batch.column("n_words"), batch.column("n_hit"), pa.array(map(len, items), pa.int64()), pa.array(map(_sha256, items), pa.string())]
+        yield pa.RecordBatch.from_arrays(arrays, names=_REPORT)
 
 
-def report(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
+def report(docs: DataFrame, benchmark: DataFrame, n: int = N, most: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every row of `docs`."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    hits = find_hits(docs.select("doc_id", "text"), benchmark, n).select("doc_id", "n_words", "spans", "items")
-    told = hits.mapInArrow(_digest, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string")
+    shape = f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string"
+    parts = parts_of(_items(benchmark), most)
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    if len(parts) == 1:
+        bounded_batches(docs.sparkSession)
+        told = docs.mapInArrow(_report(docs.sparkSession.sparkContext.broadcast(Windows(parts[0].toArrow(), n))), shape)
+    else:
+        told = find_hits(docs, benchmark, n, most=most).select("doc_id", "n_words", hit_words().alias("n_hit"), "items").mapInArrow(_digest, shape)
     return told.withColumn("contaminated", (F.col("n_hit") > 0) & (CONTAMINATED_PART * F.col("n_hit") >= F.col("n_words")))
 
 
 def hit_words() -> F.Column:
-    """The number of distinct words that the column spans covers."""
-    pairs = F.array_sort(F.transform(F.sequence(F.lit(0), (F.size("spans") / 2).cast("int") - 1), lambda i: F.struct(F.get("spans", (2 * i).cast("int")).alias("a"), F.get("spans", (2 * i + 1).cast("int")).alias("b"))))
-    start = F.struct(F.lit(0).alias("total"), F.lit(0).alias("end"))
-    step = lambda s, x: F.struct((s["total"] + F.greatest(F.lit(0), x["b"] - F.greatest(x["a"], s["end"]))).alias("total"), F.greatest(s["end"], x["b"]).alias("end"))
-    return F.when(F.size("spans") == 0, F.lit(0)).otherwise(F.aggregate(pairs, start, step)["total"])
+    """The number of words in the runs of the column spans."""
+    return F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).alias("sign")), lambda s, x: F.struct((s["n"] + s["sign"] * x).alias("n"), (-s["sign"]).alias("sign")))["n"]
 
 
 def _aside(docs: DataFrame) -> DataFrame:
@@ -196,7 +323,7 @@ def _back(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """The rows of `docs` that are not contaminated, with their own columns."""
-    hits = find_hits(_aside(docs), benchmark, n)
+    hits = find_hits(_aside(docs), benchmark, n, with_items=False)
     n_hit = hit_words()
     return _back(docs, hits.filter((n_hit == 0) | (CONTAMINATED_PART * n_hit < F.col("n_words"))))
 
@@ -222,7 +349,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def cut_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """Every row of `docs` with the words inside any occurrence of a window cut out of its text; null texts
     are empty then."""
-    hits = find_hits(_aside(docs), benchmark, n)
+    hits = find_hits(_aside(docs), benchmark, n, with_items=False)
     return _back(docs, hits.mapInArrow(_cut, hits.schema))
 
 

@@ -222,6 +222,42 @@ def test_hits_add_up_over_parts_of_the_benchmark(spark):
     assert len(decontaminate.parts_of(bench, 400)) > 4 and whole == parts and sum(len(r[3]) for r in whole) > 100
 
 
+@pytest.mark.parametrize("most", [decontaminate.BROADCAST_BYTES, 9000])
+def test_many_equal_items_meet_many_occurrences(spark, most):
+    items = [(i, "yes" if i % 3 else "No, thanks") for i in range(2000)] + [(None, "yes"), (7, "other yes item"), (7, "yes"), (9, "no thanks")]
+    rows = base_rows([(20 + i, t) for i, t in enumerate(["yes " * 3000, "no YES thanks", "No thanks" * 500, "yes, no thanks; other yes item", "nothing here"])] + [(40 + i, "yes") for i in range(500)])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    windows = {}
+    for i, t in items:
+        windows.setdefault(tuple(re.findall("[a-z]+", t.lower())), set()).add(i)
+    want = []
+    for i, t in rows:
+        w = re.findall("[a-z0-9]+", (t or "").lower())
+        hit, found = set(), set()
+        for x, ids in windows.items():
+            at = [a for a in range(len(w)) if tuple(w[a : a + len(x)]) == x]
+            hit |= {a + j for a in at for j in range(len(x))}
+            found |= ids if at else set()
+        ids = sorted(str(x) for x in found if x is not None)
+        want.append((i, len(w), len(hit), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+    assert collected(decontaminate.report(frame(spark, rows), bench, most=most)) == sorted(want, key=str)
+
+
+def test_an_occurrence_costs_the_same_whatever_the_items():
+    import time
+
+    import pyarrow as pa
+
+    class Sent:
+        value = decontaminate.Windows(pa.table({"item_id": [str(i) for i in range(4000)], "text": ["yes"] * 4000}), 13)
+
+    began = time.perf_counter()
+    for texts in (["yes " * 4000], ["yes"] * 4000):
+        batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+        assert {n for out in decontaminate._report(Sent)(iter([batch])) for n in out.column("n_items").to_pylist()} == {4000}
+    assert time.perf_counter() - began < 0.5
+
+
 def test_decontamination_without_items(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert collected(decontaminate.report(frame(spark, [(1, "a b")]), none)) == [(1, 2, 0, 0, hashlib.sha256(b"").hexdigest(), False)]
