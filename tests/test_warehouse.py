@@ -431,28 +431,6 @@ def test_live_view_keeps_the_newest_state(spark, tmp_path):
     assert sorted(map(tuple, live.current(every, "agent", "at", "seq").collect())) == sorted(map(tuple, got))
 
 
-def test_an_epoch_reads_only_the_buckets_of_its_keys(spark, tmp_path):
-    loader = runner.Loader(spark, str(tmp_path), ["k"], "at", ["v"], {}, buckets=16)
-    shape = "k int, v string, at int"
-    model = {}
-    for epoch, rows in enumerate([[(i, f"a{i}", 1) for i in range(40)], [(3, "new", 5), (50, "x", 2)], [(3, "old", 2), (7, "a7", 9)]]):
-        loader.epoch(spark.createDataFrame(rows, shape), epoch)
-        for k, v, at in rows:
-            if k not in model or at > model[k][1]:
-                model[k] = (v, at)
-    told = {r["batch_seq"]: r["buckets"] for r in spark.read.parquet(str(tmp_path / "registry")).collect()}
-    assert len(told[0]) > 10 and len(told[1]) <= 2 and len(told[2]) <= 2
-    # an observation whose content is known is not new, so its later time is not taken
-    model[7] = ("a7", 1)
-    assert {r["k"]: (r["v"], r["at"]) for r in loader.core().collect()} == model
-    assert spark.read.parquet(str(tmp_path / "core")).filter("epoch = 1").select("bucket").distinct().count() == len(told[1])
-    # what a crash had begun to write is written again when the epoch is repeated
-    spark.createDataFrame([(3, "half", 99, "stream", 3, 0, 5)], "k int, v string, at int, run_id string, batch_seq long, content_hash long, bucket int").write.mode("append").partitionBy("batch_seq", "bucket").parquet(str(tmp_path / "raw"))
-    loader.epoch(spark.createDataFrame([(3, "next", 6)], shape), 3)
-    model[3] = ("next", 6)
-    assert {r["k"]: (r["v"], r["at"]) for r in loader.core().collect()} == model
-
-
 def test_live_counts_by_window(spark, tmp_path):
     schema = "at timestamp, kind string"
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "in"))
