@@ -411,26 +411,6 @@ def test_metadata_says_what_limits_a_result(spark):
     assert meta["in_progress"] == 3 and meta["has_unlinked"] is None and meta["unclosed_dates"] == []
 
 
-def test_live_view_keeps_the_newest_state(spark, tmp_path):
-    from dispatchlake.streaming import live
-
-    schema = "agent long, state string, at long, seq long"
-    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-    parts = [[(1, "ready", 10, 1), (2, "busy", 10, 2)], [(1, "busy", 20, 3), (3, "off", 5, 4)], [(1, "late", 15, 5), (2, "ready", 10, 6)]]
-    query = live.view(stream, "agent", "at", "seq", "live_states", "0 seconds")
-    try:
-        for part in parts:
-            spark.createDataFrame(part, schema).write.mode("append").parquet(str(tmp_path / "in"))
-            query.processAllAvailable()
-        got = live.snapshot(spark, "live_states", "agent", "at", "seq").collect()
-    finally:
-        query.stop()
-    assert sorted((r["agent"], r["state"], r["at"]) for r in got) == [(1, "busy", 20), (2, "ready", 10), (3, "off", 5)]
-    every = spark.createDataFrame(sum(parts, []), schema)
-    assert sorted(map(tuple, live.current(every, "agent", "at", "seq").collect())) == sorted(map(tuple, got))
-
-
 def test_live_counts_by_window(spark, tmp_path):
     schema = "at timestamp, kind string"
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "in"))
