@@ -7,6 +7,9 @@ joins the findings back to all rows that hold the blob. A scan that is repeated,
 version of the corpus, reads texts only of blobs it has not seen; a scan that breaks off before the append
 is committed is repeated, and rows that two scans have appended count once.
 
+Texts that have been seen do not leave their task: a bitmap of the unseen addresses, of fixed size, is broadcast,
+and of what passes it a task merges equal texts before any is sent. `compact` makes one table of the ledger's files.
+
 Nulls are scanned as empty texts. Repeated rows share one blob, null and repeated ids are rows of their
 own, very long texts are scanned whole, and an empty table stays empty. Other columns of any name are
 kept, but for `blob` and `spans`, which are the result's.
@@ -25,8 +28,6 @@ from pyspark.sql import functions as F
 
 from .shared import bounded_batches, folder, saved
 
-#: Changes with the rules: blobs are scanned anew under a new version.
-RULE_VERSION = 1
 #: Rows of one blob are joined with its findings in so many tasks.
 SALTS = 16
 BASE_KINDS = ("assign", "access", "hex")
@@ -39,6 +40,12 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _PRIVATE = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
 _SERVICE = re.compile(r"(?a:\b(?:ghp|gho|ghs|glpat|xoxb|xoxp)[_-][A-Za-z0-9-]{20,})")
 
+#: Follows from the rules themselves: where they change, blobs are scanned anew.
+RULE_VERSION = hashlib.sha256(repr([KINDS, *((r.pattern, r.flags) for r in (_ASSIGN, _ACCESS, _HEX, _PRIVATE, _SERVICE)), _ASSIGN_WORDS]).encode()).hexdigest()[:16]
+#: The unseen addresses are sketched in so many bits before texts meet them: 32 MB, whatever the corpus.
+FILTER_BITS = 1 << 28
+_BUCKET = 1 << 15
+
 SPANS = "array<struct<kind: string, start: int, end: int>>"
 
 
@@ -83,17 +90,50 @@ class Ledger:
         """The ledger that the shared folder holds for the corpus of this name."""
         return cls(spark, f"{folder(spark)}/secret-ledger/{hashlib.sha256(corpus.encode()).hexdigest()[:24]}")
 
-    def rows(self, version: int = RULE_VERSION) -> DataFrame | None:
+    def _folder(self, version: str) -> str:
+        return f"{self.path}/rule_version={version}"
+
+    def rows(self, version: str = RULE_VERSION) -> DataFrame | None:
         """blob and spans of all that has been scanned under `version`; None before the first scan."""
         try:
-            return self.spark.read.schema(f"blob binary, spans {SPANS}").parquet(f"{self.path}/rule_version={version}")
+            return self.spark.read.schema(f"blob binary, spans {SPANS}").parquet(self._folder(version))
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
 
-    def append(self, rows: DataFrame, version: int = RULE_VERSION) -> None:
-        rows.select("blob", "spans").write.mode("append").parquet(f"{self.path}/rule_version={version}")
+    def append(self, rows: DataFrame, version: str = RULE_VERSION) -> None:
+        rows.select("blob", "spans").write.mode("append").parquet(self._folder(version))
+
+    def compact(self, version: str = RULE_VERSION) -> None:
+        """One row for each blob, in as few files as their number asks for. If it breaks off between its two renames, the
+        ledger is empty and the next scan fills it again."""
+        held = self.rows(version)
+        if held is None:
+            return
+        live, new, old = (f"{self._folder(version)}{end}" for end in ("", ".new", ".old"))
+        held.dropDuplicates(["blob"]).write.mode("overwrite").parquet(new)
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        files = path(live).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(path(old), True)
+        files.rename(path(live), path(old))
+        files.rename(path(new), path(live))
+        files.delete(path(old), True)
+
+
+def _place(blob: str) -> tuple[F.Column, F.Column]:
+    """(bucket, bit) of an address in the bitmap."""
+    bit = F.xxhash64(blob).bitwiseAND(F.lit(FILTER_BITS - 1))
+    return F.floor(bit / _BUCKET), bit % _BUCKET
+
+
+def _may_hold(texts: DataFrame, unseen: DataFrame) -> DataFrame:
+    """The rows of `texts` (blob, text) whose address may be one of `unseen` (blob); none that is, is lost."""
+    bucket, bit = _place("blob")
+    bitmap = unseen.select(bucket.alias("_bucket"), bit.alias("_bit")).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = texts.withColumn("_bucket", bucket).join(F.broadcast(bitmap), "_bucket")
+    return held.filter(byte.bitwiseAND(F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (bit % 8).cast("int") + 1)) != 0).select("text", "blob")
 
 
 def scan_new(docs: DataFrame, seen: DataFrame | None = None, text_column: str = "text") -> DataFrame:
@@ -104,19 +144,22 @@ def scan_new(docs: DataFrame, seen: DataFrame | None = None, text_column: str =
     texts = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text"), blob_of(text_column).alias("blob"))
     if seen is not None:
         unseen = saved(texts.select("blob").distinct().join(seen.select("blob"), "blob", "left_anti"), "secret-unseen")
-        texts = texts.filter(F.lit(False)) if unseen.isEmpty() else texts.join(unseen, "blob", "left_semi")
+        texts = texts.filter(F.lit(False)) if unseen.isEmpty() else _may_hold(texts, unseen)
     # first() of one blob's rows is the same text whichever row it comes from
     once = texts.groupBy("blob").agg(F.first("text").alias("text"))
+    once = once if seen is None else once.join(unseen, "blob", "left_semi")
     return once.mapInArrow(_scan, f"blob binary, spans {SPANS}")
 
 
-def update(docs: DataFrame, ledger: Ledger, version: int = RULE_VERSION, text_column: str = "text") -> DataFrame:
+def update(docs: DataFrame, ledger: Ledger, version: str = RULE_VERSION, text_column: str = "text") -> DataFrame:
     """Scans what `ledger` has not seen of `docs`, appends it, and returns the ledger's rows."""
-    ledger.append(scan_new(docs, ledger.rows(version), text_column), version)
+    found = saved(scan_new(docs, ledger.rows(version), text_column), "secret-news") if ledger.rows(version) is not None else scan_new(docs, None, text_column)
+    if ledger.rows(version) is None or not found.isEmpty():
+        ledger.append(found, version)
     return ledger.rows(version)
 
 
-def scan(docs: DataFrame, ledger: Ledger | None = None, version: int = RULE_VERSION, text_column: str = "text") -> DataFrame:
+def scan(docs: DataFrame, ledger: Ledger | None = None, version: str = RULE_VERSION, text_column: str = "text") -> DataFrame:
     """`docs` with `blob` and `spans`; what is scanned goes to `ledger`, or without one is forgotten."""
     known = saved(scan_new(docs, None, text_column), "secret-spans") if ledger is None else update(docs, ledger, version, text_column)
     # a blob that a third of all rows hold is met in SALTS tasks, not in one

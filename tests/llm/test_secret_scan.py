@@ -66,10 +66,40 @@ def test_a_second_scan_scans_only_what_is_new(spark, tmp_path):
     assert rows.columns == [c for c in more.columns if c not in ("blob", "spans")] + ["blob", "spans"]
     assert {(r["salt"], r["doc"], len(r["spans"]) > 0) for r in rows.collect()} == {("s", "d", True)} and ledger.rows().count() == 4
     # another version of the rules begins anew; rows that two scans have appended count once
-    secret_scan.update(more, ledger, version=2)
-    assert ledger.rows(2).count() == 2
-    ledger.append(ledger.rows(2), 2)
-    assert secret_scan.scan(more, ledger, version=2).count() == 2
+    secret_scan.update(more, ledger, version="other")
+    assert ledger.rows("other").count() == 2
+    ledger.append(ledger.rows("other"), "other")
+    assert secret_scan.scan(more, ledger, version="other").count() == 2
+    # compacted, it holds each blob once; a scan that finds nothing new writes nothing
+    ledger.compact("other")
+    ledger.compact("third")
+    files = ledger.rows("other").inputFiles()
+    assert ledger.rows("other").count() == 2 and secret_scan.scan(more, ledger, version="other").count() == 2
+    assert ledger.rows("other").inputFiles() == files
+
+
+def test_seen_texts_stay_in_their_task_and_a_hot_new_one_is_merged_there(spark, tmp_path):
+    ledger = secret_scan.Ledger(spark, str(tmp_path / "ledger"))
+    old = [(i, f"text {i} {SECRETS[i % len(SECRETS)]}") for i in range(500)]
+    secret_scan.update(frame(spark, old), ledger)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = frame(spark, old + [(1000 + i, "the same news") for i in range(900)] + [(2000, "other news")])
+        unseen = docs.filter("doc_id >= 1000").select(secret_scan.blob_of("text").alias("blob")).distinct()
+        passed = secret_scan._may_hold(docs.select("text", secret_scan.blob_of("text").alias("blob")), unseen)
+        assert passed.count() == 901  # but for chance, what was seen goes nowhere
+        plan = secret_scan.scan_new(docs, ledger.rows())._jdf.queryExecution().executedPlan().toString()
+        merged = plan[plan.index("partial_first") :]
+        assert "Exchange" not in merged[: merged.index("BroadcastHashJoin")]
+        assert sorted(len(r["spans"]) for r in secret_scan.scan_new(docs, ledger.rows()).collect()) == [0, 0]
+        assert secret_scan.scan(docs, ledger).count() == 1401 and ledger.rows().count() == 502
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_version_follows_from_the_rules():
+    assert len(secret_scan.RULE_VERSION) == 16 and secret_scan.RULE_VERSION == secret_scan.RULE_VERSION.lower()
 
 
 def test_the_query_keeps_a_ledger_for_its_corpus(spark, tmp_path):
