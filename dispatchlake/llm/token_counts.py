@@ -33,7 +33,9 @@ BROADCAST_WORDS = 2_000_000
 #: What ends a word.
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 OVER = 2048
+#: Distinct words that a task holds before it sends them: at most so many, of at most so many bytes together.
 FLUSH_WORDS = 400_000
+FLUSH_BYTES = 64 << 20
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -96,6 +98,7 @@ def _distinct(slices: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
+        size = 0
         for batch in batches:
             for _, _, data, offsets in words.slices(batch.column("text")):
                 w = words.split(data, offsets)
@@ -106,9 +109,13 @@ def _distinct(slices: int):
                         held[h][1] += n
                     else:
                         held[h] = [raw[s:e], n]
+                        size += e - s
+                    if size >= FLUSH_BYTES:
+                        yield flush(held)
+                        held, size = {}, 0
                 if len(held) >= FLUSH_WORDS:
                     yield flush(held)
-                    held = {}
+                    held, size = {}, 0
         if held:
             yield flush(held)
 

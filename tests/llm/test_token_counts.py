@@ -39,3 +39,13 @@ def test_a_tokenizer_that_joins_white_space_with_words_is_refused(tmp_path):
     other.save(str(tmp_path / "other.json"))
     with pytest.raises(ValueError):
         token_counts.PreTokens(str(tmp_path / "other.json")).verify()
+
+
+def test_a_task_sends_its_words_when_they_are_many_bytes(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_counts, "FLUSH_BYTES", 1000)
+    texts = [f"{'w' * 300}{i} again" for i in range(40)]
+    sent = list(token_counts._distinct(1)(iter([pa.RecordBatch.from_pydict({"text": texts})])))
+    held = [b for batch in sent for b in batch.column("words").to_pylist()]
+    assert len(sent) > 5 and all(len(b) < 2000 for b in held) and sum(b.count(b"w" * 300) for b in held) == 40
