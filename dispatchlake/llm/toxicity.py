@@ -35,6 +35,8 @@ from .shared import bounded_batches, fresh
 BITS = 22
 FOLDS = 5
 SAMPLE = 12_000
+#: Of the rows that teach: about so many bytes of text together, or the longest one's.
+SAMPLE_BYTES = 256 << 20
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 10.0, 0.1
 #: What an error on a toxic row counts, an error on another being 1: toxic rows are few.
@@ -108,16 +110,18 @@ def held_out(doc_id) -> F.Column:
 
 
 def drawn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """key, toxic and features of the rows that teach, `sample` at most."""
-    usable = labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
+    """key, toxic and features of the rows that teach, `sample` at most, of about SAMPLE_BYTES of text together. Ids are
+    compared and drawn as texts, whatever their types are on both sides."""
+    usable = labels.select(F.col("doc_id").cast("string").alias("doc_id"), "toxic").filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     below = lambda key, share: F.shiftrightunsigned(key, 32) < int(share * (1 << 32))
     share = min(1.0, sample / max(1, usable.count()))
     some = lambda df: df.filter(below(F.xxhash64("doc_id"), share))
-    rows, key = some(docs.select("doc_id", F.col("text").cast("string").alias("text"))), F.xxhash64("doc_id", "text")
+    rows, key = some(docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))), F.xxhash64("doc_id", "text")
     # an id may stand for any number of rows: those that differ are counted and drawn too
-    differ = rows.join(F.broadcast(some(usable)), "doc_id", "left_semi").agg(F.approx_count_distinct(key)).first()[0]
-    rows = rows.filter(below(F.xxhash64(key), min(1.0, sample / max(1, differ))))
+    held = rows.join(F.broadcast(some(usable)), "doc_id", "left_semi")
+    differ, size = held.agg(F.approx_count_distinct(key), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    rows = rows.filter(below(F.xxhash64(key), min(1.0, sample / max(1, differ), SAMPLE_BYTES / max(1, size))))
     rows = rows.join(some(usable), "doc_id").select(key.alias("key"), F.col("toxic").cast("int").alias("toxic"), "text")
     found = rows.mapInArrow(_featured, "key long, toxic int, features binary")
     once = found.groupBy("key").agg(F.max("toxic").alias("toxic"), F.first("features").alias("features"))
