@@ -17,14 +17,15 @@ clusters stop early, vectors without any structure make every index look at many
 3. A query's k-th distance in one block of its own cell is its first bound. It is then sent to the cells
    whose boxes its projected ball meets, whose leaves are found by a kd-tree of their own.
 
-Vectors that are null, zero, of another than the most frequent length, or hold null or non-finite
-components take no part, nor do rows without an id. Rows that share an id are rows of their own: each is
+Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without an
+id. Vectors of different lengths have no cosine: each length is searched among itself. Rows that share an id are rows of their own: each is
 a candidate of the other, and each query row has its own result. Ties go to the smaller id.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -270,11 +271,12 @@ class Search:
     `result` is query_id, rank, vec_id and score; `found` has one row for each query and block that it
     was sent to, with the number of points that were verified there."""
 
-    def __init__(self, vectors: DataFrame, is_query: F.Column, k: int = K, confidence: float = CONFIDENCE):
+    def __init__(self, vectors: DataFrame, is_query: F.Column, k: int = K, confidence: float = CONFIDENCE, length: int | None = None):
         spark = vectors.sparkSession
         bounded_batches(spark)
         self.result, self.found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double"), None
         rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"), F.coalesce(is_query, F.lit(False)).alias("is_query")).filter("vec_id is not null")
+        rows = rows if length is None else rows.filter(F.size("embedding") == length)
         lengths = rows.groupBy(F.size("embedding").alias("n")).count().filter("n > 0").orderBy(F.desc("count"), "n").first()
         if lengths is None:
             return
@@ -323,8 +325,11 @@ class Search:
 
 def nearest(vectors: DataFrame, is_query: F.Column, k: int = K, confidence: float = CONFIDENCE) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest found for each row of `vectors` (vec_id, embedding)
-    for which `is_query` holds, among all other rows."""
-    return Search(vectors, is_query, k, confidence).result
+    for which `is_query` holds, among all other rows. Vectors of one length are searched among themselves; each length
+    has an index of its own, so a table has as few of them as its vectors have lengths."""
+    lengths = [r[0] for r in vectors.select(F.size("embedding").alias("n")).filter("n > 0").distinct().collect()]
+    found = [Search(vectors, is_query, k, confidence, length).result for length in sorted(lengths)]
+    return reduce(DataFrame.unionByName, found) if found else Search(vectors.filter(F.lit(False)), is_query, k, confidence).result
 
 
 def op8_neighbours(spark, sf_dir: str) -> DataFrame:

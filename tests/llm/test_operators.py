@@ -492,6 +492,23 @@ def test_toxicity_teaches_a_bounded_number_of_rows(spark):
     assert toxicity.drawn(docs.withColumn("text", F.lit("one")), labels, 10).count() == 3
 
 
+def test_toxicity_draws_alike_whatever_the_types_of_ids(spark):
+    docs = frame(spark, [(i, f"text {i} {'w ' * (i % 50)}") for i in range(3000)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3000)], "doc_id long, toxic int")
+    drawn = lambda d, m, **more: collected(toxicity.drawn(d, m, 500, **more).select("key", "toxic"))
+    want = drawn(docs, labels)
+    assert 350 < len(want) <= 500
+    for a, b in (("int", "long"), ("string", "long"), ("long", "string"), ("int", "string")):
+        assert drawn(docs.withColumn("doc_id", F.col("doc_id").cast(a)), labels.withColumn("doc_id", F.col("doc_id").cast(b))) == want
+
+
+def test_toxicity_bounds_the_bytes_that_teach(spark, monkeypatch):
+    docs = frame(spark, [(i, "word " * 200 + str(i)) for i in range(2000)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2000)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 200_000)
+    assert 100 < toxicity.drawn(docs, labels).count() < 400
+
+
 def test_drop_toxic(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(rng.choice(["idiot", "scum"]) if i % 3 == 0 and rng.random() < 0.4 else f"w{rng.randrange(50)}" for _ in range(30))) for i in range(600)]
@@ -551,6 +568,24 @@ def test_neighbours(spark, monkeypatch, block, sample):
     assert [i for _, i, _ in got[300]] == [301, 302, 303, 304, 305] and [i for _, i, _ in got[650]] == [300, 301, 302, 303, 304]
 
 
+def test_neighbours_of_each_length(spark):
+    rng = np.random.default_rng(5)
+    rows, want = [], {}
+    for length, ids in ((8, range(0, 160)), (5, range(200, 260)), (3, range(300, 302))):
+        v = rng.standard_normal((len(ids), length))
+        rows += [(i, x.tolist()) for i, x in zip(ids, v, strict=True)]
+        unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+        for a, i in enumerate(ids):
+            if i % 50 == 0:
+                order = sorted((b for b in range(len(ids)) if b != a), key=lambda b: (-(unit[a] @ unit[b]), ids[b]))[:5]
+                want[i] = [ids[b] for b in order]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(df, F.col("vec_id") % 50 == 0, confidence=0.9999).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    assert {q: [r[k] for k in sorted(r)] for q, r in got.items()} == want and len(want[300]) == 1
+
+
 def test_neighbours_with_repeated_ids_and_few_rows(spark):
     rng = np.random.default_rng(3)
     v = rng.standard_normal((40, 8)).astype(np.float32)
