@@ -102,14 +102,3 @@ SELECT x, y, count(*) AS n FROM g GROUP BY 1, 2 HAVING count(*) >= 5"""
 def _(spark, sf):
     places = table(spark, sf, "orders").select((39.8 + (F.col("o_custkey") % 40) / 1000).alias("longitude"), (21.4 + (F.col("o_orderkey") % 30) / 1000).alias("latitude"))
     return ops.hotspots(places)
-
-
-_DRAW = "('0x' || substr(md5('7-{}-' || minute || '-' || n), 1, 13))::BIGINT"
-
-
-@query("src_17_synthetic_calls", f"""SELECT '7-' || minute || '-' || n AS call_id, minute, {_DRAW.format("queue")} % 5 AS queue, {_DRAW.format("length")} % 30 + 1 AS length, minute + {_DRAW.format("length")} % 30 + 1 <= 1100 AS is_complete
-  FROM (SELECT 1000 + i AS minute, j AS n FROM range(120) a(i), range(3) b(j)) WHERE minute <= 1100""")
-def _(spark, sf):
-    from ..sources.polled import synthetic
-
-    return synthetic(spark, 7, 1000, 120, 1100)

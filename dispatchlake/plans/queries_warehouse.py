@@ -339,11 +339,6 @@ def _(spark, sf):
 # --- windows, watermarks and batch checks ----------------------------------------------------------
 
 
-@query("str_01_slices", "SELECT s AS slice_from, least(s + 1200, 10000) AS slice_to FROM (SELECT unnest([0, 1200, 2400, 3600, 4800, 6000, 7200, 8400, 9600]) AS s) WHERE s < 9600 UNION ALL SELECT 9400, 10000")
-def _(spark, sf):
-    return spark.createDataFrame(windows.slices(0, 10000, 1200, 600), "slice_from int, slice_to int")
-
-
 @query("str_02_watermark", f"{_EVENTS} SELECT max(tm)::BIGINT AS watermark FROM raw WHERE batch_seq NOT IN (SELECT * FROM held)")
 def _(spark, sf):
     held = incremental.held(_quarantine(spark, sf))
@@ -427,47 +422,14 @@ def _days_mart(spark, sf):
     return m.withColumn("day", F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")).drop("date_key")
 
 
+_DAY = "strptime(date_key::VARCHAR, '%Y%m%d')::DATE"
+
+
 def _record(spark):
     closed = periods.spine(spark, "1997-01-01", "1997-01-10")
     return closed.select(F.lit("m").alias("mart"), "day", F.lit(1).alias("close_version"), F.lit(1).cast("long").alias("publication_seq"), F.lit(1).cast("long").alias("row_count"))
 
 
-@query("pub_01_open_days", "SELECT DATE '1997-01-11' + i::INTEGER AS day FROM range(10) t(i)")
-def _(spark, sf):
-    return publication.open_days(spark, _record(spark), "m", F.lit("1995-01-01").cast("date"), "1997-01-20")
-
-
-@query("pub_02_intraday", "SELECT DATE '1997-01-14' + i::INTEGER AS day, 0 AS close_version FROM range(7) t(i)")
-def _(spark, sf):
-    days = publication.open_days(spark, _record(spark), "m", F.lit("1995-01-01").cast("date"), "1997-01-20")
-    return publication.intraday(days, "1997-01-20")
-
-
-def _final(spark, sf):
-    """Runs sweep every source day but every 6th; the run of day 17 has an open batch."""
-    days = publication.open_days(spark, _record(spark), "m", F.lit("1995-01-01").cast("date"), "1997-01-20")
-    swept = periods.spine(spark, "1997-01-01", "1997-01-20").withColumn("n", F.dayofmonth("day"))
-    sweeps = swept.select(F.col("day").alias("source_day"), F.concat(F.lit("r"), F.col("n")).alias("run_id"), F.when(F.col("n") % 15 == 0, "failed").otherwise("succeeded").alias("outcome"))
-    batches = swept.select(F.concat(F.lit("r"), F.col("n")).alias("run_id"), F.lit(1).alias("batch_seq"), (F.col("n") != 17).alias("settled"))
-    return days, publication.final_days(days, sweeps, batches, F.lit("1996-12-31").cast("date"), "UTC", "Asia/Riyadh")
-
-
-_FINAL = "SELECT DATE '1997-01-11' + i::INTEGER AS day FROM range(10) t(i) WHERE i + 11 NOT IN (15, 16, 17, 18)"
-
-
-@query("pub_03_final_days", _FINAL)
-def _(spark, sf):
-    return _final(spark, sf)[1]
-
-
-@query("pub_04_closable", f"SELECT day, 1 AS close_version FROM ({_FINAL}) WHERE day < DATE '1997-01-15'")
-def _(spark, sf):
-    return publication.closable(*_final(spark, sf))
-
-
-_DAY = "strptime(date_key::VARCHAR, '%Y%m%d')::DATE"
-
-
 @query("pub_05_corrections", f"{BASE}, m AS (SELECT {_DAY} AS day, count(*) AS calls FROM calls GROUP BY 1) SELECT day, 2 AS close_version FROM m WHERE day BETWEEN DATE '1997-01-04' AND DATE '1997-01-10' AND day(day) % 3 = 0")
 def _(spark, sf):
     computed = _days_mart(spark, sf)
@@ -502,7 +464,8 @@ _RANGES = ((date(1995, 1, 1), date(1997, 12, 27)), (date(1997, 12, 28), date(200
 def _request(spark, sf, metrics, dims=(), filters=None, granularity=None, mart="calls_day_volume", principal=None):
     """A request for each range over a mart whose days are closed."""
     rows = marts.build(mart, all_calls(spark, sf), legs(spark, sf))
-    rows = rows.withColumn("day", F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")).withColumn("close_version", F.lit(1))
+    # a row for each day and member: built once, read by each range
+    rows = rows.withColumn("day", F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")).withColumn("close_version", F.lit(1)).persist()
     record = periods.spine(spark, str(_RANGES[0][0]), str(_RANGES[-1][1])).select(F.lit(mart).alias("mart"), "day", F.lit(1).alias("close_version"), F.lit(1).cast("long").alias("publication_seq"))
     out = None
     for first, last in _RANGES:
@@ -526,8 +489,8 @@ def _(spark, sf):
     day = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")
     version = F.when(F.col("date_key") % 3 == 0, 0).otherwise(1)
     known = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("agent_no")).filter("agent_no % 5 <> 0")
-    volume = marts.volume(all_calls(spark, sf)).withColumns({"day": day, "close_version": version})
-    handling = marts.agent_handling(legs(spark, sf), known).withColumns({"day": day, "close_version": version})
+    volume = marts.volume(all_calls(spark, sf)).withColumns({"day": day, "close_version": version}).persist()
+    handling = marts.agent_handling(legs(spark, sf), known).withColumns({"day": day, "close_version": version}).persist()
     spine = periods.spine(spark, str(_RANGES[0][0]), str(_RANGES[-1][1])).withColumn("close_version", F.when(F.date_format("day", "yyyyMMdd").cast("int") % 3 == 0, 0).otherwise(1))
     out = None
     for first, last in _RANGES:
@@ -562,13 +525,6 @@ def _(spark, sf):
     return _request(spark, sf, ["M-C09"], ["agent"], mart="legs_day_agent_handling", principal=semantic.Principal("a7", ("agent",), "7"))
 
 
-@query("qry_04_version_choice", "SELECT DATE '1997-01-01' + i::INTEGER AS day, CASE WHEN i < 5 THEN 2 WHEN i < 10 THEN 1 WHEN i < 12 THEN 0 END AS close_version, CASE WHEN i < 12 THEN 'published' ELSE 'not_built' END AS status FROM range(15) t(i)")
-def _(spark, sf):
-    v = periods.spine(spark, "1997-01-01", "1997-01-12").withColumn("n", F.dayofmonth("day"))
-    record = v.select(F.lit("m").alias("mart"), "day", F.explode(F.when(F.col("n") <= 5, F.array(F.lit(0), F.lit(1), F.lit(2))).when(F.col("n") <= 10, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("close_version"), F.lit(1).cast("long").alias("publication_seq"))
-    return semantic.choose_versions(record, "m", date(1997, 1, 1), date(1997, 1, 15)).select("day", "close_version", "status")
-
-
 @query("qry_09_members", f"{BASE} SELECT DISTINCT first_queue::VARCHAR AS member FROM calls WHERE first_queue IS NOT NULL AND direction = 'inbound' AND is_complete")
 def _(spark, sf):
     return semantic.members(marts.queue_service(all_calls(spark, sf)), "queue")
@@ -630,12 +586,6 @@ def _(spark, sf):
 # --- tests as queries ------------------------------------------------------------------------------
 
 
-@query("dq_01_columns_match", "SELECT 'talk' AS name, 'missing' AS finding UNION ALL SELECT 'extra_column', 'extra'")
-def _(spark, sf):
-    names = lambda *n: spark.createDataFrame([(x,) for x in n], "name string")
-    return quality.columns_match(names("wait", "extra_column"), names("wait", "talk"), "name")
-
-
 @query("dq_02_states_exceed_signin", "SELECT user_id, batch_seq, sum(value)::BIGINT AS states FROM (SELECT user_id, ts::DATE AS batch_seq, round(value)::BIGINT AS value FROM events) GROUP BY 1, 2 HAVING sum(value) > 200")
 def _(spark, sf):
     day = table(spark, sf, "events").groupBy("user_id", F.to_date("ts").alias("batch_seq")).agg(F.sum(F.round("value").cast("long")).alias("states"))
@@ -760,11 +710,6 @@ def _(spark, sf):
     return quality.result_rule_violations(all_calls(spark, sf).withColumn("call_result", broken))
 
 
-@query("dq_17_closing_behind", "SELECT DATE '1997-01-10' AS last_closed")
-def _(spark, sf):
-    return quality.closing_behind(_record(spark), "m", F.lit("1997-01-20").cast("date"))
-
-
 _SAME = "SELECT n_regionkey AS scope, 2 AS version FROM nation GROUP BY 1 HAVING n_regionkey % 2 = 0"
 
 
