@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.periods import GRANULARITIES, period
 from .marts import MARTS, UNLINKED, Mart
+from .results import ResultCache
 
 MAX_DAYS = 1098
 MAX_ROWS = 10_000
@@ -245,14 +246,21 @@ def execute(p: Plan, rows: DataFrame, record: DataFrame) -> tuple[DataFrame, Dat
 
 def answer(
     request: Request, principal: Principal, rows: Callable[[str], DataFrame], record: DataFrame, audit: Callable[[dict], None],
-    metrics: tuple[Metric, ...] = CATALOG, marts: dict[str, Mart] = MARTS, availability: tuple[Availability, ...] = (),
+    metrics: tuple[Metric, ...] = CATALOG, marts: dict[str, Mart] = MARTS, availability: tuple[Availability, ...] = (), cache: ResultCache | None = None,
 ) -> tuple[list, dict]:
-    """(rows, meta). The audit entry is written before anything is returned; if that fails nothing is."""
+    """(rows, meta). The audit entry is written before anything is returned; if that fails nothing is. What `cache` holds
+    for the versions that are chosen now is returned without reading the mart; refusals and overlong results are not kept."""
     try:
         p = plan(request, principal, metrics, marts)
     except Refused as refusal:
         _audit(audit, principal, request, refusal.code, 0)
         raise
+    if cache is not None:
+        versions = choose_versions(record, p.mart.name, request.first, request.last, request.version)
+        key = cache_key(p, versions.agg(F.max("publication_seq")).first()[0] or 0)
+        if (kept := cache.get(key, (availability, request.version))) is not None:
+            _audit(audit, principal, request, "ok", len(kept[0]))
+            return kept
     result, chosen = execute(p, rows(p.mart.name), record)
     found = result.limit(MAX_ROWS + 1).collect()
     if len(found) > MAX_ROWS:
@@ -261,6 +269,8 @@ def answer(
     meta = describe(chosen, found, p, availability)
     meta |= metadata(p, rows(p.mart.name), record).first().asDict()
     meta["cache_key"] = cache_key(p, max((r["publication_seq"] or 0 for r in meta.pop("_days")), default=0))
+    if cache is not None:
+        cache.put(meta["cache_key"], found, result.schema, meta, (availability, request.version))
     _audit(audit, principal, request, "ok", len(found))
     return found, meta
 
