@@ -43,7 +43,7 @@ def test_as_of_where_times_are_equal(spark):
     assert got == {**dict.fromkeys(range(50), "x"), 99: "w"}
 
 
-@pytest.mark.parametrize("buckets", [200, 1024])
+@pytest.mark.parametrize("buckets", [200])
 def test_exact_quantiles(spark, buckets):
     rng = random.Random(buckets)
     rows = [("many", rng.gauss(0, 1)) for _ in range(3000)] + [("few", float(rng.randrange(3))) for _ in range(500)] + [("one", 7.5), ("nulls", None), (None, 1.0), (None, None), (None, 4.0)]
@@ -70,7 +70,7 @@ def plain(x, y, corners):
     return n % 2 == 1
 
 
-@pytest.mark.parametrize("side", [1.0, 3.7, 50.0])
+@pytest.mark.parametrize("side", [1.0, 3.7])
 def test_several_hundred_sectors(spark, side):
     rng = random.Random(int(side))
     polygons = []
