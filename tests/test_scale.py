@@ -84,10 +84,34 @@ def test_several_hundred_sectors(spark, side):
     covered = sectors.cover(df, "id", "corners", side).persist()
     got = sorted((r["k"], r["sector"]) for r in sectors.located(spark.createDataFrame(points, "k int, x double, y double"), "x", "y", covered, side).collect())
     assert got == sorted((k, i) for k, x, y in points for i, c in polygons if plain(x, y, c))
+    sums = Counter(), Counter()
+    for k, i in got:
+        sums[0][i] += 1
+        sums[1][i] += k
+    place = spark.createDataFrame(points, "k int, x double, y double")
+    for most in (8192, 3):  # whole cells, and cells dealt into parts
+        summed = sectors.totals(place, "x", "y", "k", covered, side, most).collect()
+        assert sorted(map(tuple, summed)) == sorted((i, n, sums[1][i]) for i, n in sums[0].items())
     if side == 1.0:
         assert covered.filter("edges is null").count() > covered.filter("edges is not null").count() / 4
 
 
+def test_sums_by_sector_make_no_pairs(spark, tmp_path):
+    """Forty sectors over the same four thousand places: no step has a row for each pair, and no cover is broadcast."""
+    square = [{"x": x, "y": y} for x, y in ((0.5, 0.5), (9.5, 0.5), (9.5, 9.5), (0.5, 9.5))]
+    df = spark.createDataFrame([(i, square) for i in range(40)], "id int, corners array<struct<x: double, y: double>>")
+    spark.range(4000).selectExpr("id AS k", "(id % 63) / 63D * 10 AS x", "(id % 97) / 97D * 10 AS y").write.parquet(f"{tmp_path}/p")
+    totals = sectors.totals(spark.read.parquet(f"{tmp_path}/p"), "x", "y", "k", sectors.cover(df, "id", "corners", 10.0), 10.0)
+    rows = totals.collect()
+    want = [k for k in range(4000) if plain((k % 63) / 63 * 10, (k % 97) / 97 * 10, [(c["x"], c["y"]) for c in square])]
+    assert {(r["n"], r["total"]) for r in rows} == {(len(want), sum(want))} and len(rows) == 40
+    plan = totals._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" in plan and "strategy=merge" in plan
+    with pytest.raises(Exception, match="(?i)overflow"):
+        big = spark.createDataFrame([(2**62, 1.0 + i / 9, 1.0) for i in range(3)], "k long, x double, y double")
+        sectors.totals(big, "x", "y", "k", sectors.cover(df, "id", "corners", 10.0), 10.0).collect()
+
+
 def test_variants(spark):
     texts = ['{"a": [1, "1", null, 2.5], "b": {"c": true}, "d": null, "e": "x"}', "[]", "7", "null", '"t"', "{bad", None, '{"a": 1}']
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("doc", variants.parsed(F.col("t")))
