@@ -10,7 +10,7 @@ from dispatchlake.session import PARTS, TASK_BYTES, bound_tasks, in_bytes
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 FIRST = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-NAMED = ["metric_r06_unit_availability", "metric_i04_initial_dispatch", "ag_16_span_guard", "inc_09_day_guard", "metric_r08_r09_open_turnouts", "str_07_batch_check", "call_04_disagreeing_legs", "metric_i10_late_dispatches", "qry_11_own_rows_only"]
+NAMED = ["metric_r06_unit_availability", "metric_i04_initial_dispatch", "ag_16_span_guard", "inc_09_day_guard", "metric_r08_r09_open_turnouts", "str_07_batch_check", "call_04_disagreeing_legs", "metric_i10_late_dispatches", "qry_11_own_rows_only", "wn_07_rank_alternatives"]
 
 
 @pytest.fixture
