@@ -28,7 +28,7 @@ def configured(builder: SparkSession.Builder | None = None) -> SparkSession:
 #: until all cores have that much.
 TASK_BYTES = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": 8 << 20, "spark.sql.files.maxPartitionBytes": 32 << 20}
 #: Parts that a shuffle is first cut into; those that are small are put together again.
-PARTS = 800
+PARTS = 400
 
 
 def in_bytes(text: str) -> int:
